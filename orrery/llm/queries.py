@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orrery.llm import byte_bpe, exact_dedup
+from orrery.llm import byte_bpe, exact_dedup, license_scan, pii, quality
 
-MODULES = [exact_dedup, byte_bpe]
+MODULES = [license_scan, pii, quality, exact_dedup, byte_bpe]
 
 
 def queries() -> dict:
