@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orrery.llm import byte_bpe, exact_dedup, license_scan, pii, quality
+from orrery.llm import byte_bpe, exact_dedup, license_scan, mixing, pii, quality, simhash
 
-MODULES = [license_scan, pii, quality, exact_dedup, byte_bpe]
+MODULES = [license_scan, simhash, mixing, pii, quality, exact_dedup, byte_bpe]
 
 
 def queries() -> dict:
