@@ -99,18 +99,30 @@ def flight(sizes: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> np.nda
 
 
 def land(sizes: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Settle the last two at most: of all outcomes, that with the word total nearest, then the document total."""
+    """Settle the last two at most: of all outcomes, that with the word total nearest, then the document total. Then
+    one exchange of a document that is in for one that is out, if that brings the word total nearer."""
     at = np.flatnonzero((p > 0) & (p < 1))
+    if not len(at):
+        return p
     want = float((sizes[at] * p[at]).sum())
-    best = min(range(1 << len(at)), key=lambda m: (abs(sum(sizes[i] for k, i in enumerate(at) if m >> k & 1) - want), abs(bin(m).count("1") - p[at].sum()), m))
+    miss = lambda m: want - sum(sizes[i] for k, i in enumerate(at) if m >> k & 1)
+    best = min(range(1 << len(at)), key=lambda m: (abs(miss(m)), abs(bin(m).count("1") - p[at].sum()), m))
     for k, i in enumerate(at):
         p[i] = best >> k & 1
+    gap, ins, outs = miss(best), np.flatnonzero(p == 1), np.flatnonzero(p == 0)
+    if len(ins) and len(outs):
+        outs = outs[np.argsort(sizes[outs], kind="stable")]
+        spots = np.searchsorted(sizes[outs], sizes[ins] + gap)
+        tries = [(abs(gap - (sizes[o] - sizes[i])), int(i), int(o)) for i, s in zip(ins, spots) for o in outs[max(0, s - 1) : s + 1]]
+        left, i, o = min(tries)
+        if left < abs(gap):
+            p[i], p[o] = 0.0, 1.0
     return p
 
 
 def _fly(last: bool, level: int):
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("row", ignore_index=True)
+        part = part.sort_values(["key", "row"], ignore_index=True)
         rng = np.random.default_rng([SEED, level, int(part["rank"].iloc[0]), int(part["block"].iloc[0])])
         sizes = part["size"].to_numpy(dtype=float)
         order = rng.permutation(len(part))
@@ -123,7 +135,8 @@ def _fly(last: bool, level: int):
 
 
 def plan_mix(units: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK) -> DataFrame:
-    """Add source_size, target and copies to a written table of (row, size, source, ...), row being unique."""
+    """Add source_size, target and copies to a written table of (row, key, size, source, ...): row is unique, key a hash
+    that does not depend on how rows are dealt out."""
     targets = materialise(source_targets(units, weights, share, most), "mix-targets")
     small = targets.count() <= BROADCAST_SOURCES
     side = targets.withColumnRenamed("source", "__source")
@@ -133,10 +146,10 @@ def plan_mix(units: DataFrame, weights=WEIGHTS, share: float = SHARE, most: floa
     part = ratio - whole
     met = met.withColumn("copies", whole.cast("long")).withColumn("p", F.when(part > 1e-9, part).otherwise(0.0))
     columns = [*units.columns, "source_size", "target", "copies"]
-    work = ["row", "rank", "size", "p", "block"]
-    schema = "row long, rank long, size long, p double, block long"
+    work = ["row", "key", "rank", "size", "p", "block"]
+    schema = "row long, key long, rank long, size long, p double, block long"
     blocks = F.ceil(F.col("n_docs") / block)
-    open_ = met.filter("p > 0").select("row", "rank", "size", "p", F.pmod(F.xxhash64("row"), blocks).alias("block"))
+    open_ = met.filter("p > 0").select("row", "key", "rank", "size", "p", F.pmod(F.xxhash64("key"), blocks).alias("block"))
     largest = targets.agg(F.max("n_docs")).first()[0] or 0
     taken, level = [], 0
     while True:
@@ -149,7 +162,7 @@ def plan_mix(units: DataFrame, weights=WEIGHTS, share: float = SHARE, most: floa
         # what is left: two a block at most
         largest, level = 2 * math.ceil(largest / block), level + 1
         n = math.ceil(largest / block)
-        open_ = flown.filter("p > 0 AND p < 1").withColumn("block", F.pmod(F.xxhash64("block", "row"), F.lit(n)))
+        open_ = flown.filter("p > 0 AND p < 1").withColumn("block", F.pmod(F.xxhash64("block", "key"), F.lit(n)))
     extra = taken[0]
     for more in taken[1:]:
         extra = extra.unionByName(more)
@@ -162,19 +175,23 @@ def sized(text_col: str = "text"):
     return F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long")
 
 
-def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text") -> DataFrame:
+def units_of(docs: DataFrame, id_col: str, source_col: str, text_col: str, row) -> DataFrame:
+    size = sized(text_col)
+    found = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), row.alias("row"), size.alias("size"))
+    return materialise(found.withColumn("key", F.xxhash64(F.coalesce("id", "row"), "size", "source")), "mix-units")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The documents, each as often as the mix takes it (rows of no words by their probability, too)."""
     tagged = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-docs")
-    units = materialise(tagged.select(F.col("__row").alias("row"), sized(text_col).alias("size"), F.col(source_col).alias("source")), "mix-units")
-    counts = plan_mix(units).filter("copies > 0").select(F.col("row").alias("__unit"), F.col("copies").cast("int").alias("__copies"))
+    counts = plan_mix(units_of(tagged, id_col, source_col, text_col, F.col("__row"))).filter("copies > 0").select(F.col("row").alias("__unit"), F.col("copies").cast("int").alias("__copies"))
     met = tagged.join(counts, F.col("__row") == F.col("__unit"))
     return met.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_mixing(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    units = materialise(docs.select("doc_id", "source", F.monotonically_increasing_id().alias("row"), sized().alias("size")), "mix-units")
-    return plan_mix(units).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+    units = units_of(documents(spark, sf_dir), "doc_id", "source", "text", F.monotonically_increasing_id())
+    return plan_mix(units).select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 QUERIES = {"op5_mixing": op5_mixing}
