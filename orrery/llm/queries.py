@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orrery.llm import byte_bpe, exact_dedup, license_scan, line_dedup, mixing, pii, quality, simhash, warc
+from orrery.llm import byte_bpe, exact_dedup, license_scan, line_dedup, mixing, pii, quality, simhash, url_filter, warc
 
-MODULES = [license_scan, warc, simhash, mixing, pii, line_dedup, quality, exact_dedup, byte_bpe]
+MODULES = [license_scan, warc, url_filter, simhash, mixing, pii, line_dedup, quality, exact_dedup, byte_bpe]
 
 
 def queries() -> dict:
