@@ -20,8 +20,8 @@ def col(x) -> Column:
 
 
 def days(ts) -> Column:
-    """A timestamp as a double of days since 1970."""
-    return F.unix_micros(col(ts)) / F.lit(DAY_MICROS)
+    """A timestamp as a double of days since 1970; without a zone it is taken in the session's, which should be UTC."""
+    return F.unix_micros(col(ts).cast("timestamp")) / F.lit(DAY_MICROS)
 
 
 def phase(t, period, t0) -> Column:

@@ -16,11 +16,11 @@ def median(x) -> Column:
 
 
 def median_where(x, condition) -> Column:
-    return F.percentile(F.when(condition, col(x)), 0.5)
+    return F.percentile(F.when(col(condition), col(x)), 0.5)
 
 
 def count_where(condition) -> Column:
-    return F.count(F.when(condition, 1))
+    return F.count(F.when(col(condition), 1))
 
 
 def robust(df: DataFrame, keys: list[str], x: str, where: Column | None = None) -> DataFrame:

@@ -112,24 +112,24 @@ def lomb_scargle(df: DataFrame, key: list[str], frequencies: list[float], t="t",
 def fold_test(df: DataFrame, key: list[str], shifts=200, t="t", y="flux", err="flux_err") -> DataFrame:
     """Per key: weighted depth at the ephemeris, its z, and the share of phase shifts that do at least as well."""
     w = 1 / F.pow(F.col(err), 2)
-    rows = df.select(*key, t, y, "period", "t0", "duration", w.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(shifts - 1))).alias("k"))
-    inside = S.in_event(t, "period", F.col("t0") + F.col("k") * F.col("period") / shifts, "duration")
-    m = rows.withColumn("i", inside).groupBy(*key, "k").agg(*[F.sum(F.when(F.col("i") == flag, v)).alias(n) for flag, v, n in ((True, F.col("w"), "a"), (True, F.col("w") * F.col(y), "b"), (False, F.col("w"), "c"), (False, F.col("w") * F.col(y), "d"))])
+    rows = df.select(*key, t, y, "period", "t0", "duration", w.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(shifts - 1))).alias("__k"))
+    inside = S.in_event(t, "period", F.col("t0") + F.col("__k") * F.col("period") / shifts, "duration")
+    m = rows.withColumn("i", inside).groupBy(*key, "__k").agg(*[F.sum(F.when(F.col("i") == flag, v)).alias(n) for flag, v, n in ((True, F.col("w"), "a"), (True, F.col("w") * F.col(y), "b"), (False, F.col("w"), "c"), (False, F.col("w") * F.col(y), "d"))])
     depth = F.col("d") / F.col("c") - F.col("b") / F.col("a")
     m = m.withColumn("depth", depth).withColumn("z", depth / F.sqrt(1 / F.col("a") + 1 / F.col("c")))
-    own = m.filter("k = 0").select(*key, "depth", "z")
-    rest = m.filter("k > 0 AND z IS NOT NULL").select(*key, F.col("z").alias("z_k"))
+    own = m.filter("__k = 0").select(*key, "depth", "z")
+    rest = m.filter("__k > 0 AND z IS NOT NULL").select(*key, F.col("z").alias("z_k"))
     joined = own.join(rest, key, "left").groupBy(*key, "depth", "z").agg(F.count("z_k").alias("n"), F.count(F.when(F.col("z_k") >= F.col("z"), 1)).alias("hits"))
     return joined.select(*key, "depth", "z", ((1 + F.col("hits")) / (1 + F.col("n"))).alias("p_value"))
 
 
 def refine_t0(df: DataFrame, key: list[str], steps=41, widths=1.0, t="t", y="flux") -> DataFrame:
     """Per key: the offset of t0, within so many durations, of the deepest event by medians."""
-    k = F.explode(F.sequence(F.lit(-(steps // 2)), F.lit(steps // 2))).alias("k")
-    rows = df.select(*key, t, y, "period", "t0", "duration", k).withColumn("offset", F.col("k") * widths * F.col("duration") / (steps // 2))
+    k = F.explode(F.sequence(F.lit(-(steps // 2)), F.lit(steps // 2))).alias("__k")
+    rows = df.select(*key, t, y, "period", "t0", "duration", k).withColumn("offset", F.col("__k") * widths * F.col("duration") / (steps // 2))
     inside = S.in_event(t, "period", F.col("t0") + F.col("offset"), "duration", 0.5)
-    m = rows.filter(inside).groupBy(*key, "k", "offset").agg(median(y).alias("m"), F.count(F.lit(1)).alias("n")).filter("n >= 3")
-    return m.groupBy(*key).agg(F.min_by(F.struct("offset", "m"), F.struct("m", F.abs("k"), "k")).alias("b")).select(*key, "b.offset", F.col("b.m").alias("flux"))
+    m = rows.filter(inside).groupBy(*key, "__k", "offset").agg(median(y).alias("m"), F.count(F.lit(1)).alias("n")).filter("n >= 3")
+    return m.groupBy(*key).agg(F.min_by(F.struct("offset", "m"), F.struct("m", F.abs("__k"), "__k")).alias("b")).select(*key, "b.offset", F.col("b.m").alias("flux"))
 
 
 def control_periods(df: DataFrame, key: str, n: int, seed, low=0.3, high=13.0, harmonics=4, reject=0.02) -> DataFrame:

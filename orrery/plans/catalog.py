@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-MODULES: list = []
+from orrery.plans import series_queries
+
+MODULES: list = [series_queries.R]
 
 
 def queries() -> dict:
