@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orrery.plans import series_queries
+from orrery.plans import series_queries, survey_queries
 
-MODULES: list = [series_queries.R]
+MODULES: list = [survey_queries.R, series_queries.R]
 
 
 def queries() -> dict:
