@@ -263,7 +263,7 @@ def least_companion(f, mass) -> Column:
 
 def split_list(x, sep: str = ",") -> Column:
     """The parts of a joined cell, trimmed, without empty ones; null gives none."""
-    return F.filter(F.transform(F.split(F.coalesce(col(x), F.lit("")), sep), F.trim), lambda p: p != "")
+    return F.filter(F.transform(F.split(F.coalesce(col(x), F.lit("")), sep), lambda p: F.trim(p)), lambda p: p != "")
 
 
 def type_tokens(x) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orrery.plans import series_queries, survey_queries
+from orrery.plans import matching_queries, series_queries, survey_queries
 
-MODULES: list = [survey_queries.R, series_queries.R]
+MODULES = [survey_queries.R, series_queries.R, matching_queries.R]
 
 
 def queries() -> dict:
