@@ -40,8 +40,8 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 def id_list(lines: DataFrame, value: str = "value", digits: tuple[int, int] = (5, 10)) -> DataFrame:
     """Distinct ids found in text, as longs."""
-    found = F.explode(F.regexp_extract_all(F.col(value), F.lit(rf"\b(\d{{{digits[0]},{digits[1]}}})\b"), F.lit(1)))
-    return lines.select(found.cast("long").alias("id")).distinct()
+    found = F.explode(F.regexp_extract_all(F.col(value), F.lit(rf"\b(\d{{{digits[0]},{digits[1]}}})\b"), F.lit(1)).cast("array<bigint>"))
+    return lines.select(found.alias("id")).distinct()
 
 
 def optional(spark: SparkSession, path: str, schema: str, form: str = "csv") -> DataFrame:
