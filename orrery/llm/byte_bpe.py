@@ -1,11 +1,12 @@
 """Byte-level BPE encoding and decoding by a shuffle of distinct words.
 
 Encoding: tasks split texts into pre-tokens and keep, for each block of documents, the list of distinct words and every
-pre-token's position as an index into that list. Only the distinct words of blocks are exploded; they are shuffled by
-word, each distinct word of the corpus is encoded once, the ids are joined back to the blocks by word, and each block
-is reassembled by position. A word has one row a block at most, so no word is hot, and a block is bounded by
-``block_chars`` (or one document, if that is longer). Decoding joins the token-byte table (one row an id of the
-vocabulary file, which bounds its size) inside each task.
+pre-token's position as an index into that list. Only the distinct words of blocks are exploded: they are dealt out by
+a hash of the word, so that each distinct word of the corpus meets its equals in one task and is encoded once; the ids
+go back to the blocks in the order the words came, and each block is reassembled by position. What is shuffled is
+packed (a row per block and bucket of words, zstd) and holds a word once a block at most, so no word is hot; a block is
+bounded by ``block_chars`` (or one document, if that is longer). Decoding joins the token-byte table (one row an id of
+the vocabulary file, which bounds its size) inside each task.
 
 Nulls: a null text counts as empty; an empty text has no ids and decodes to no bytes. Null ids, repeated rows and rows
 that share an id each give a row of their own. Empty table: empty result. Other columns are ignored.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,26 +81,56 @@ class _Index(dict):
         return n
 
 
-def _blocks(pattern: str, block_chars: int):
+def _planes(values: np.ndarray) -> bytes:
+    """Unsigned numbers, byte plane by byte plane: high bytes are mostly equal, so they pack well."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unplanes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+BLOCKS = "block long, bucket int, words binary, ids array<long>, sizes array<int>, seq binary"
+
+
+def _blocks(pattern: str, block_chars: int, buckets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import regex
+        import zstandard
 
-        find = regex.compile(pattern).findall
+        find, pack = regex.compile(pattern).findall, zstandard.ZstdCompressor(level=3).compress
         part, number = TaskContext.get().partitionId(), 0
         index, ids, seqs, chars = _Index(), [], [], 0
 
         def emit() -> pd.DataFrame:
             block = part << 32 | number
-            n = len(index)
-            kind = "<u2" if n <= 1 << 16 else "<u4"
-            head = pd.DataFrame({"block": [block], "word": [None], "at": [int(kind[2])], "ids": [ids], "sizes": [[len(s) for s in seqs]], "seq": [np.concatenate([np.zeros(0, dtype="<u4"), *seqs]).astype(kind).tobytes()]})
-            words = pd.DataFrame({"block": block, "word": list(index), "at": np.arange(n), "ids": None, "sizes": None, "seq": None})
-            return pd.concat([head, words], ignore_index=True) if n else head
+            whole = np.concatenate([np.zeros(0, dtype=np.int64), *seqs])
+            words = list(index)
+            dealt: list[list[int]] = [[] for _ in range(buckets)]
+            for at, word in enumerate(words):
+                dealt[zlib.crc32(word.encode()) % buckets].append(at)
+            # positions hold the rank of a word by frequency; a second list leads from ranks to the order of the buckets
+            often = np.bincount(whole, minlength=len(words))
+            order, rows = [], []
+            for bucket, own in enumerate(dealt):
+                if own:
+                    own.sort(key=lambda at: words[at])
+                    order += own
+                    raw = [words[at].encode() for at in own]
+                    rows.append((block, bucket, pack(np.array(list(map(len, raw)), dtype="<u4").tobytes() + b"".join(raw)) + len(raw).to_bytes(4, "little"), None, None, None))
+            ranked = np.argsort(-often, kind="stable")
+            rank = np.empty(len(words), dtype=np.int64)
+            rank[ranked] = np.arange(len(words))
+            place = np.empty(len(words), dtype=np.int64)
+            place[order] = np.arange(len(words))
+            seq = pack(_planes(rank[whole]))
+            rows.append((block, None, None, ids, [len(s) for s in seqs], len(seq).to_bytes(8, "little") + seq + pack(_planes(place[ranked]))))
+            return pd.DataFrame(rows, columns=[c.split()[0] for c in BLOCKS.split(", ")]).astype({"bucket": "Int32"})
 
         for batch in batches:
             for key, text in zip(batch["id"].astype(object), batch["text"]):
                 text = text or ""
-                seqs.append(np.fromiter(map(index.__getitem__, find(text)), dtype="<u4"))
+                seqs.append(np.fromiter(map(index.__getitem__, find(text)), dtype=np.int64))
                 ids.append(None if pd.isna(key) else int(key))
                 chars += len(text)
                 if chars >= block_chars:
@@ -110,32 +142,59 @@ def _blocks(pattern: str, block_chars: int):
     return run
 
 
+#: Words that a task remembers the ids of; beyond, it forgets them all and encodes a word again when it comes again.
+MEMO = 2_000_000
+
+
 def _encode_words(ranks, pattern: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import tiktoken
+        import zstandard
 
-        table = ranks.value
+        pack, unpack = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
+        table, memo = ranks.value, {}
         piece = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})._encode_single_piece
         for batch in batches:
-            raw = [w.encode() for w in batch["word"]]
-            yield pd.DataFrame({"word": batch["word"], "tokens": [np.array(piece(b) if len(b) <= LONG_PIECE else merge_long(b, table), dtype="<u4").tobytes() for b in raw]})
+            out = []
+            for packed in batch["words"]:
+                n, raw = int.from_bytes(packed[-4:], "little"), unpack(packed[:-4])
+                stops = np.cumsum(np.frombuffer(raw[: 4 * n], dtype="<u4"), dtype=np.int64) + 4 * n
+                if len(memo) > MEMO:
+                    memo.clear()
+                found, a = [], 4 * n
+                for b in stops.tolist():
+                    word = raw[a:b]
+                    a = b
+                    ids = memo.get(word)
+                    if ids is None:
+                        ids = memo[word] = piece(word) if len(word) <= LONG_PIECE else merge_long(word, table)
+                    found.append(ids)
+                counts = np.array(list(map(len, found)), dtype="<u4")
+                out.append(pack(_planes(np.concatenate([counts, np.array([i for ids in found for i in ids], dtype="<u4")]))) + n.to_bytes(4, "little"))
+            yield pd.DataFrame({"home": batch["block"], "bucket": batch["bucket"], "coded": out})
 
     return run
 
 
 def _reassemble(words: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
-    at = words["at"].to_numpy(dtype=np.int64)
-    tokens = np.empty(len(words), dtype=object)
-    tokens[at] = list(words["tokens"])
-    count = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)) // 4
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    counts, tokens = [np.zeros(0, dtype="<u4")], [np.zeros(0, dtype="<u4")]
+    for packed in words.sort_values("bucket")["coded"]:
+        n, values = int.from_bytes(packed[-4:], "little"), _unplanes(unpack(packed[:-4]))
+        counts.append(values[:n])
+        tokens.append(values[n:])
+    count = np.concatenate(counts).astype(np.int64)
     start = np.cumsum(count) - count
-    flat = np.frombuffer(b"".join(tokens), dtype="<u4").astype(np.int32)
+    flat = np.concatenate(tokens).astype(np.int32)
     ids, out = [], []
     for row in blocks.itertuples():
-        seq = np.frombuffer(row.seq, dtype=f"<u{row.width}")
+        cut = 8 + int.from_bytes(row.seq[:8], "little")
+        whole = _unplanes(unpack(row.seq[cut:]))[_unplanes(unpack(row.seq[8:cut]))]
         stops = np.cumsum(row.sizes, dtype=np.int64)
         for key, stop, size in zip(row.ids, stops, row.sizes):
-            s = seq[stop - size : stop]
+            s = whole[stop - size : stop]
             n = count[s]
             ids.append(key)
             out.append(flat[np.repeat(start[s] - (np.cumsum(n) - n), n) + np.arange(n.sum())] if size else flat[:0])
@@ -147,17 +206,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     spark = docs.sparkSession
     vocabulary, pattern = vocabulary or default_vocabulary()[0], pattern or default_vocabulary()[1]
     ranks = spark.sparkContext.broadcast(load_ranks(vocabulary))
+    buckets = 2 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = materialise(
-        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(
-            _blocks(pattern, block_chars), "block long, word string, at int, ids array<long>, sizes array<int>, seq binary"
-        ),
-        "bpe-blocks",
+        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(_blocks(pattern, block_chars, buckets), BLOCKS), "bpe-blocks"
     )
-    words = blocks.filter(F.col("word").isNotNull()).select("block", "word", "at")
-    coded = words.select("word").distinct().mapInPandas(_encode_words(ranks, pattern), "word string, tokens binary")
-    met = words.join(coded, "word").select(F.col("block").alias("home"), "at", "tokens")
-    heads = blocks.filter(F.col("word").isNull()).select("block", F.col("at").alias("width"), "ids", "sizes", "seq")
-    found = met.groupBy("home").cogroup(heads.groupBy("block")).applyInPandas(_reassemble, "id long, tokens array<int>")
+    words = blocks.filter(F.col("bucket").isNotNull()).select("block", "bucket", "words").repartition("bucket")
+    coded = words.mapInPandas(_encode_words(ranks, pattern), "home long, bucket int, coded binary")
+    heads = blocks.filter(F.col("bucket").isNull()).select("block", "ids", "sizes", "seq")
+    found = coded.groupBy("home").cogroup(heads.groupBy("block")).applyInPandas(_reassemble, "id long, tokens array<int>")
     return found.withColumnRenamed("id", id_col)
 
 
