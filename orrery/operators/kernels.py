@@ -192,11 +192,15 @@ def event_times(df: DataFrame, key: str, t="t", y="flux", err="flux_err", shifts
 def gls_line(cycle: np.ndarray, time: np.ndarray, err: np.ndarray, group: np.ndarray) -> dict:
     """Straight line through times with white and per-group noise, both by restricted likelihood on a refined grid."""
     x = np.stack([np.ones(len(cycle)), cycle], axis=1).astype(float)
+    err = np.maximum(err, max(1e-4 * float(err.max()), 1e-9))  # points without error would leave no inverse
     same = (group[:, None] == group[None, :]).astype(float)
 
     def solve(white: float, shared: float):
         cov = np.diag(err**2 + white**2) + shared**2 * same
-        chol = np.linalg.cholesky(cov)
+        try:
+            chol = np.linalg.cholesky(cov)
+        except np.linalg.LinAlgError:
+            return None, None, -np.inf
         xs, ys = np.linalg.solve(chol, x), np.linalg.solve(chol, time)
         info = xs.T @ xs
         beta = np.linalg.solve(info, xs.T @ ys)
