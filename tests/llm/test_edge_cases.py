@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from brute_force import PLAIN, brute_simhash, plain_ok
 from orrery.llm import byte_bpe, exact_dedup, license_scan, line_dedup, mixing, pii, quality, simhash, url_filter, warc
 from orrery.llm.common import new_path
 
@@ -100,15 +101,6 @@ def test_pii(docs, none, spark):
             assert t[s.start : s.end] == s.value
 
 
-PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
-
-
-def plain_ok(kind, m):
-    digits = re.sub("[^0-9]", "", m)
-    luhn = sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
-    return {"email": True, "ip": all(int(p) <= 255 for p in m.split(".")) if kind == "ip" else 0, "card": 16 <= len(digits) <= 19 and luhn, "phone": 8 <= len(digits) <= 15}[kind]
-
-
 def test_pii_against_the_plain_patterns(spark):
     rng = random.Random(5)
     texts = [(i, "".join(rng.choice("aé@..+- 0123456789()%") for _ in range(rng.choice([20, 200])))) for i in range(300)]
@@ -137,14 +129,6 @@ def test_license_scan(docs, none, spark):
     assert got[4].labels == "" and got[5].n_base == 2 and got[5].last_word == 2
 
 
-def brute_simhash(text):
-    import xxhash
-
-    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
-    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 3]).encode(), 42) for i in range(max(1, len(words) - 2))] if words else []
-    return sum((sum(h >> b & 1 for h in hashes) * 2 > len(hashes)) << b for b in range(64))
-
-
 def test_simhash(docs, none, spark):
     for r in ROWS:
         assert simhash.simhash(r[1]) == brute_simhash(r[1])
