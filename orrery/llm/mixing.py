@@ -98,25 +98,31 @@ def flight(sizes: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> np.nda
     return np.array(p)
 
 
-def land(sizes: np.ndarray, p: np.ndarray) -> np.ndarray:
+def land(sizes: np.ndarray, p: np.ndarray, rounds: int = 16) -> np.ndarray:
     """Settle the last two at most: of all outcomes, that with the word total nearest, then the document total. Then
-    one exchange of a document that is in for one that is out, if that brings the word total nearer."""
+    exchange a document that is in for one that is out (or put one in, or out), as long as the word total comes nearer."""
     at = np.flatnonzero((p > 0) & (p < 1))
-    if not len(at):
-        return p
     want = float((sizes[at] * p[at]).sum())
     miss = lambda m: want - sum(sizes[i] for k, i in enumerate(at) if m >> k & 1)
     best = min(range(1 << len(at)), key=lambda m: (abs(miss(m)), abs(bin(m).count("1") - p[at].sum()), m))
     for k, i in enumerate(at):
         p[i] = best >> k & 1
-    gap, ins, outs = miss(best), np.flatnonzero(p == 1), np.flatnonzero(p == 0)
-    if len(ins) and len(outs):
-        outs = outs[np.argsort(sizes[outs], kind="stable")]
-        spots = np.searchsorted(sizes[outs], sizes[ins] + gap)
-        tries = [(abs(gap - (sizes[o] - sizes[i])), int(i), int(o)) for i, s in zip(ins, spots) for o in outs[max(0, s - 1) : s + 1]]
-        left, i, o = min(tries)
-        if left < abs(gap):
-            p[i], p[o] = 0.0, 1.0
+    gap = miss(best)
+    if not len(at):
+        return p
+    size = np.append(sizes, 0.0)  # the last stands for no document
+    none = len(sizes)
+    for _ in range(rounds):
+        ins, outs = np.append(np.flatnonzero(p == 1), none), np.append(np.flatnonzero(p == 0), none)
+        outs = outs[np.argsort(size[outs], kind="stable")]
+        spots = np.searchsorted(size[outs], size[ins] + gap)
+        left, i, o = min((abs(gap - (size[o] - size[i])), int(i), int(o)) for i, s in zip(ins, spots) for o in outs[max(0, s - 1) : s + 1])
+        if left >= abs(gap) - 0.5:
+            break
+        gap -= size[o] - size[i]
+        for k, v in ((i, 0.0), (o, 1.0)):
+            if k != none:
+                p[k] = v
     return p
 
 
