@@ -208,12 +208,12 @@ def gls_line(cycle: np.ndarray, time: np.ndarray, err: np.ndarray, group: np.nda
         return beta, np.linalg.inv(info), -np.log(np.diag(chol)).sum() - 0.5 * np.linalg.slogdet(info)[1] - 0.5 * rest @ rest
 
     scale = max(float(np.median(err)), 1e-9)
-    best = (0.0, 0.0)
-    grid = np.concatenate([[0.0], scale * np.geomspace(0.05, 50, 13)])
+    grid, ratio = np.concatenate([[0.0], scale * np.geomspace(0.05, 50, 10)]), 1000 ** (1 / 9)
     several = len(np.unique(group)) > 1
-    for factor in (1.0, 0.15, 0.02):
-        tries = [(w, s) for w in grid for s in (grid if several else [0.0])] if factor == 1.0 else [(max(0.0, best[0] + factor * scale * a), max(0.0, best[1] + factor * scale * b * several)) for a in range(-6, 7) for b in range(-6, 7)]
-        best = max([best, *tries], key=lambda v: solve(*v)[2])
+    best = max(((w, s) for w in grid for s in (grid if several else [0.0])), key=lambda v: solve(*v)[2])
+    for power in (0.4, 0.12):
+        tries = [(best[0] * ratio ** (power * a), best[1] * ratio ** (power * b)) for a in range(-2, 3) for b in range(-2, 3)]
+        best = max(tries, key=lambda v: solve(*v)[2])
     beta, cov, _ = solve(*best)
     return {"t0": beta[0], "period": beta[1], "t0_err": float(np.sqrt(cov[0, 0])), "period_err": float(np.sqrt(cov[1, 1])), "cov": float(cov[0, 1]), "white": best[0], "shared": best[1]}
 
