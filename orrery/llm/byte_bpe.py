@@ -3,9 +3,10 @@
 Encoding: tasks split texts into pre-tokens and keep, for each block of documents, the list of distinct words and every
 pre-token's position as an index into that list. Only the distinct words of blocks are exploded: they are dealt out by
 a hash of the word, so that each distinct word of the corpus meets its equals in one task and is encoded once; the ids
-go back to the blocks in the order the words came, and each block is reassembled by position. What is shuffled is
-packed (a row per block and bucket of words, zstd) and holds a word once a block at most, so no word is hot; a block is
-bounded by ``block_chars`` (or one document, if that is longer). Decoding joins the token-byte table (one row an id of
+go back to the blocks in the order the words came, and each block is reassembled by position. Words and positions go
+through one exchange, which both uses read (Spark reuses it, so texts are split once). What is shuffled is packed (a
+row per block and bucket of words, zstd) and holds a word once a block at most, so no word is hot; a block is bounded by
+``block_chars`` (or one document, if that is longer). Decoding joins the token-byte table (one row an id of
 the vocabulary file, which bounds its size) inside each task.
 
 Nulls: a null text counts as empty; an empty text has no ids and decodes to no bytes. Null ids, repeated rows and rows
@@ -25,9 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm.common import documents, materialise
+from orrery.llm.common import documents
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 #: Longer pieces are merged with a heap here, as tiktoken's loop takes the square of a piece's length.
 LONG_PIECE = 500
 
@@ -90,7 +91,8 @@ def _unplanes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-BLOCKS = "block long, bucket int, words binary, ids array<long>, sizes array<int>, seq binary"
+#: A row a block (bucket null, dealt to the block's own place) and a row a block and bucket of words (dealt by bucket).
+BLOCKS = "place long, block long, bucket int, words binary, ids array<long>, sizes array<int>, seq binary"
 
 
 def _blocks(pattern: str, block_chars: int, buckets: int):
@@ -109,7 +111,8 @@ def _blocks(pattern: str, block_chars: int, buckets: int):
             dealt: list[list[int]] = [[] for _ in range(buckets)]
             for at, word in enumerate(words):
                 dealt[zlib.crc32(word.encode()) % buckets].append(at)
-            # positions hold the rank of a word by frequency; a second list leads from ranks to the order of the buckets
+            # positions hold the rank of a word by frequency, which packs best; the frequencies, in the order of the
+            # buckets, lead back from a rank to the word
             often = np.bincount(whole, minlength=len(words))
             order, rows = [], []
             for bucket, own in enumerate(dealt):
@@ -117,14 +120,12 @@ def _blocks(pattern: str, block_chars: int, buckets: int):
                     own.sort(key=lambda at: words[at])
                     order += own
                     raw = [words[at].encode() for at in own]
-                    rows.append((block, bucket, pack(np.array(list(map(len, raw)), dtype="<u4").tobytes() + b"".join(raw)) + len(raw).to_bytes(4, "little"), None, None, None))
-            ranked = np.argsort(-often, kind="stable")
-            rank = np.empty(len(words), dtype=np.int64)
-            rank[ranked] = np.arange(len(words))
+                    rows.append((-1 - bucket, block, bucket, pack(np.array(list(map(len, raw)), dtype="<u4").tobytes() + b"".join(raw)) + len(raw).to_bytes(4, "little"), None, None, None))
+            often = often[order] if order else often
             place = np.empty(len(words), dtype=np.int64)
-            place[order] = np.arange(len(words))
-            seq = pack(_planes(rank[whole]))
-            rows.append((block, None, None, ids, [len(s) for s in seqs], len(seq).to_bytes(8, "little") + seq + pack(_planes(place[ranked]))))
+            place[order] = np.argsort(np.argsort(-often, kind="stable"), kind="stable")
+            seq = pack(_planes(place[whole]))
+            rows.append((block, block, None, None, ids, [len(s) for s in seqs], len(seq).to_bytes(8, "little") + seq + pack(_planes(often))))
             return pd.DataFrame(rows, columns=[c.split()[0] for c in BLOCKS.split(", ")]).astype({"bucket": "Int32"})
 
         for batch in batches:
@@ -156,6 +157,7 @@ def _encode_words(ranks, pattern: str):
         piece = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})._encode_single_piece
         for batch in batches:
             out = []
+            batch = batch[batch["bucket"].notna()]
             for packed in batch["words"]:
                 n, raw = int.from_bytes(packed[-4:], "little"), unpack(packed[:-4])
                 stops = np.cumsum(np.frombuffer(raw[: 4 * n], dtype="<u4"), dtype=np.int64) + 4 * n
@@ -179,6 +181,8 @@ def _encode_words(ranks, pattern: str):
 def _reassemble(words: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
     import zstandard
 
+    blocks = blocks[blocks["bucket"].isna()]
+
     unpack = zstandard.ZstdDecompressor().decompress
     counts, tokens = [np.zeros(0, dtype="<u4")], [np.zeros(0, dtype="<u4")]
     for packed in words.sort_values("bucket")["coded"]:
@@ -191,14 +195,15 @@ def _reassemble(words: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
     ids, out = [], []
     for row in blocks.itertuples():
         cut = 8 + int.from_bytes(row.seq[:8], "little")
-        whole = _unplanes(unpack(row.seq[cut:]))[_unplanes(unpack(row.seq[8:cut]))]
+        ranked = np.argsort(-_unplanes(unpack(row.seq[cut:])).astype(np.int64), kind="stable")
+        whole = ranked[_unplanes(unpack(row.seq[8:cut]))]
         stops = np.cumsum(row.sizes, dtype=np.int64)
         for key, stop, size in zip(row.ids, stops, row.sizes):
             s = whole[stop - size : stop]
             n = count[s]
             ids.append(key)
             out.append(flat[np.repeat(start[s] - (np.cumsum(n) - n), n) + np.arange(n.sum())] if size else flat[:0])
-    return pd.DataFrame({"id": pd.array([None if pd.isna(k) else int(k) for k in ids], dtype="Int64"), "tokens": out})
+    return pd.DataFrame({"id": pd.array([None if pd.isna(k) else int(k) for k in ids], dtype="Int64"), "tokens": pd.Series(out, dtype=object)})
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, pattern: str | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -207,13 +212,11 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     vocabulary, pattern = vocabulary or default_vocabulary()[0], pattern or default_vocabulary()[1]
     ranks = spark.sparkContext.broadcast(load_ranks(vocabulary))
     buckets = 2 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = materialise(
-        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(_blocks(pattern, block_chars, buckets), BLOCKS), "bpe-blocks"
-    )
-    words = blocks.filter(F.col("bucket").isNotNull()).select("block", "bucket", "words").repartition("bucket")
-    coded = words.mapInPandas(_encode_words(ranks, pattern), "home long, bucket int, coded binary")
-    heads = blocks.filter(F.col("bucket").isNull()).select("block", "ids", "sizes", "seq")
-    found = coded.groupBy("home").cogroup(heads.groupBy("block")).applyInPandas(_reassemble, "id long, tokens array<int>")
+    blocks = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(_blocks(pattern, block_chars, buckets), BLOCKS)
+    # one exchange serves both uses: words meet by bucket, and a block's positions wait where its ids will come
+    dealt = blocks.repartition(buckets // 2, "place")
+    coded = dealt.mapInPandas(_encode_words(ranks, pattern), "home long, bucket int, coded binary")
+    found = coded.groupBy("home").cogroup(dealt.groupBy("place")).applyInPandas(_reassemble, "id long, tokens array<int>")
     return found.withColumnRenamed("id", id_col)
 
 
