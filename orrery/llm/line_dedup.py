@@ -6,7 +6,8 @@ occur more than once anywhere, the first occurrence (least id, then place) stays
 bytes were compared with it. Repeats inside one document count as well.
 
 Chunk digests are grouped with partial minima; the joins on digests run over written tables, so that adaptive execution
-splits a chunk which a third of the documents hold. A document's removals are gathered per document only.
+splits a chunk which a third of the documents hold. These joins are always by sort and merge: their sides grow with the corpus, and a
+plan that broadcasts while they are small would move text only beyond some size. A document's removals are gathered per document only.
 
 Nulls: a null text stays null and counts as empty. Null ids come after all others. Rows that repeat both id and text
 are one document and are treated alike. Empty table: empty result. Other columns pass through.
@@ -53,9 +54,9 @@ def repeated_chunks(docs: DataFrame, id_col: str, text_col: str, divisor: int =
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("mark").alias("mark"), F.col("start").alias("start"))
     groups = chunks.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     groups = materialise(groups.select(F.col("digest").alias("key"), "first"), "line-groups")
-    found = materialise(chunks.join(groups, F.col("digest") == F.col("key")).withColumn("leads", place == F.col("first")).drop("key", "first"), "line-chunks")
+    found = materialise(chunks.join(groups.hint("merge"), F.col("digest") == F.col("key")).withColumn("leads", place == F.col("first")).drop("key", "first"), "line-chunks")
     heads = materialise(found.filter("leads").select(F.col("digest").alias("key"), F.col("body").alias("original")).dropDuplicates(["key"]), "line-heads")
-    same = found.filter("NOT leads").join(heads, (F.col("digest") == F.col("key")) & (F.col("body") == F.col("original")))
+    same = found.filter("NOT leads").join(heads.hint("merge"), (F.col("digest") == F.col("key")) & (F.col("body") == F.col("original")))
     return same.groupBy("id", "mark").agg(F.collect_set("start").alias("starts"))
 
 
@@ -63,7 +64,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The documents without repeated chunks; removed_col, if named, gets the number of removed lines."""
     gone = materialise(repeated_chunks(docs, id_col, text_col, divisor), "line-removals").withColumnsRenamed({"id": "__id", "mark": "__gone", "starts": "__starts"})
     marked = docs.withColumn("__mark", F.md5(text_of(text_col)))
-    met = marked.join(gone, marked[id_col].eqNullSafe(gone["__id"]) & (marked["__mark"] == gone["__gone"]), "left").drop("__id", "__gone", "__mark")
+    met = marked.join(gone.hint("merge"), marked[id_col].eqNullSafe(gone["__id"]) & (marked["__mark"] == gone["__gone"]), "left").drop("__id", "__gone", "__mark")
     cut = chunked(met, text_of(text_col), divisor)
     stays = F.filter("__chunks", lambda c: ~F.array_contains("__starts", c["start"]))
     left = F.when(F.col("__starts").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(stays, lambda c: c["body"]), "\n"))
