@@ -191,7 +191,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     """The documents, each as often as the mix takes it (rows of no words by their probability, too)."""
     tagged = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-docs")
     counts = plan_mix(units_of(tagged, id_col, source_col, text_col, F.col("__row"))).filter("copies > 0").select(F.col("row").alias("__unit"), F.col("copies").cast("int").alias("__copies"))
-    met = tagged.join(counts, F.col("__row") == F.col("__unit"))
+    met = tagged.join(counts.hint("merge"), F.col("__row") == F.col("__unit"))
     return met.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

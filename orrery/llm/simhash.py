@@ -176,7 +176,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     labels = connected_components(materialise(near_links(prints.select("fp"), radius), "simhash-links"))
     met = prints.join(labels, prints.fp == labels.node, "left").select("first", F.coalesce("label", "fp").alias("label"))
     kept = materialise(met.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row")), "simhash-kept")
-    return tagged.join(kept, "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return tagged.join(kept.hint("merge"), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_simhash(spark, sf_dir):
