@@ -162,7 +162,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     found = materialise(found, "warc-records")
     records = found.select(F.col("file").alias("f"), F.col("split").alias("s"), (F.col("at") - F.col("base")).alias("a"), F.col("at").alias("offset"), "cut")
     wide = pieces.withColumn("piece", F.col("piece").cast("binary")).mapInPandas(_placed, "file string, split long, piece binary, size long, begins long, body long, at long")
-    met = wide.join(records, (F.col("file") == F.col("f")) & (F.col("split") == F.col("s")) & (F.col("at") == F.col("a")))
+    met = wide.join(records.hint("merge"), (F.col("file") == F.col("f")) & (F.col("split") == F.col("s")) & (F.col("at") == F.col("a")))
     head = F.substring("piece", F.lit(1), F.col("begins") - len(END)).cast("string").alias("head")
     payload = lambda c: F.substring(c, F.col("begins") + 1, F.col("body")).alias("payload")
     plain = met.filter("NOT cut").select("file", "offset", head, payload("piece"))
