@@ -1,7 +1,7 @@
 """WARC archives: writing through Spark's text writer, reading with boundary-chain verification.
 
 Writing: a row is a whole record (header, blank line, payload) and the writer's line separator is the pair of line ends
-that closes a record, so each part file is a WARC file, uncompressed and splittable. Of records with equal payloads of
+that closes a record, so each part file is a WARC file: uncompressed and splittable, or gzip of a bounded number of records. Of records with equal payloads of
 at least 100 bytes, the one of the least page id is a response and the others revisit it.
 
 Reading: the text reader cuts at the magic ``WARC/1.1`` line. Tasks follow the lengths of what they read to learn each
@@ -27,6 +27,7 @@ from orrery.llm.common import materialise, new_path, pages
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 LEAST_REVISIT = 100
+RECORDS_A_FILE = 50_000
 
 
 def with_revisits(records: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -47,8 +48,10 @@ def _urn(page: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("")), F.lit(">"))
 
 
-def write_warc(records: DataFrame, path: str) -> None:
-    """Write records of (page_id, url, payload, digest, size, type, refers_to) as WARC files under path."""
+def write_warc(records: DataFrame, path: str, compression: str = "none", records_a_file: int = RECORDS_A_FILE) -> None:
+    """Write records of (page_id, url, payload, digest, size, type, refers_to) as WARC files under path. Uncompressed
+    files are read in splits; gzip files are a third of the size but are read by one task each, so their records are
+    bounded."""
     revisit = F.col("type") == "revisit"
     body = F.when(revisit, "").otherwise(F.col("payload"))
     url = F.regexp_replace("url", r"[\r\n]+", "%0A")
@@ -57,7 +60,7 @@ def write_warc(records: DataFrame, path: str) -> None:
         _line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))), _line("WARC-Payload-Length", F.col("size").cast("string")),
         _line("WARC-Refers-To", F.when(revisit, _urn(F.col("refers_to")))), _line("Content-Length", F.octet_length(body).cast("string")), F.lit("\r\n"), body,
     )
-    records.select(record.alias("value")).write.option("lineSep", END).text(path)
+    records.select(record.alias("value")).write.option("lineSep", END).option("compression", compression).option("maxRecordsPerFile", records_a_file).text(path)
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -191,7 +194,7 @@ def _page(urn: Column) -> Column:
 
 def op2_warc(spark, sf_dir):
     path = new_path(spark, "warc")
-    write_warc(with_revisits(pages(spark, sf_dir).select("page_id", "url", F.col("html").alias("payload"))), path)
+    write_warc(with_revisits(pages(spark, sf_dir).select("page_id", "url", F.col("html").alias("payload"))), path, "gzip")
     read = read_warc(spark, path)
     revisit = field("WARC-Type") == "revisit"
     return read.select(

@@ -239,10 +239,10 @@ def test_warc_round_trip(spark):
     table = spark.createDataFrame([(i if i != 9 else None, f"http://a/{i}\r\nX: y", b) for i, b in enumerate(bodies)], "page_id long, url string, payload string")
     kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
-        for most in ("128m", "1000"):
+        for most, packed in (("128m", "none"), ("1000", "none"), ("1000", "gzip")):
             spark.conf.set("spark.sql.files.maxPartitionBytes", most)
             path = new_path(spark, "warc-test")
-            warc.write_warc(warc.with_revisits(table.coalesce(2)), path)
+            warc.write_warc(warc.with_revisits(table.coalesce(2)), path, packed, 7)
             got = sorted((re.search(r"urn:page:(\d*)", r.head).group(1), bytes(r.payload).decode()) for r in warc.read_warc(spark, path).collect())
             assert got == sorted(("" if i == 9 else str(i), "" if i == 2 else b or "") for i, b in enumerate(bodies))
     finally:
