@@ -1,0 +1,144 @@
+"""Near copies by exact Jaccard similarity of five-word shingles, at 0.8 or more.
+
+Shingle sets are compared as 64-bit hashes. Documents of equal sets collapse first. Two sets of similarity s share an
+element among the first n - ceil(s n) + 1 of each in any common order (prefix filtering), so candidates are the pairs
+that meet in such an element: none is lost and none is capped. The order puts shingles last that many documents of a
+sample share, so that boilerplate seldom makes candidates; the sample decides only how much is compared. Every
+candidate's similarity is then computed from the whole sets.
+
+Candidates are compared in two rounds: each element's documents with the least of them, then all pairs that this left in
+different components. A group of thousands of near copies is so mostly joined by stars instead of all its pairs.
+
+Nulls: a null text counts as empty; empty texts equal one another. Up to five words are one shingle. Null ids come last.
+Repeated rows are copies. Empty table: empty result. Other columns pass through.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from orrery.llm.common import materialise
+from orrery.llm.components import connected_components
+
+SHINGLE = 5
+#: The least similarity, as a fraction of whole numbers: comparisons stay exact.
+PART, WHOLE = 4, 5
+SAMPLE = 20_000
+#: A shingle in this many sampled documents goes last; of these at most MOST are broadcast (8 bytes each).
+COMMON, MOST = 4, 1 << 20
+SEED = 42
+_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+
+
+def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """The distinct hashes of a text's shingles, in order; none for a text without words."""
+    import xxhash
+
+    words = (text or "").encode().translate(_LOWER).split()
+    if not words:
+        return np.empty(0, dtype="<u8")
+    flat = b" ".join(words)
+    ends = np.flatnonzero(np.frombuffer(flat, dtype=np.uint8) == 32).tolist()
+    starts = [0, *(e + 1 for e in ends)]
+    ends.append(len(flat))
+    digest, k = xxhash.xxh64_intdigest, min(shingle, len(words))
+    return np.unique(np.array([digest(flat[a:b], SEED) for a, b in zip(starts, ends[k - 1 :])], dtype="<u8"))
+
+
+def shingle_set(text_col: str) -> Column:
+    @F.pandas_udf("array<long>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingles(t).view("<i8") for t in texts])
+
+    return run(text_col)
+
+
+def set_digest(text_col: str) -> Column:
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        import xxhash
+
+        return pd.Series([xxhash.xxh3_128_hexdigest(shingles(t).tobytes()) for t in texts])
+
+    return run(text_col)
+
+
+def prefix(text_col: str, common) -> Column:
+    """(n, first): the size of the set and its elements up to the prefix's length, common ones last."""
+
+    @F.pandas_udf("n int, first array<long>")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        late, sizes, firsts = common.value, [], []
+        for t in texts:
+            s = shingles(t)
+            often = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s if len(late) else np.zeros(len(s), dtype=bool)
+            take = len(s) - (PART * len(s) + WHOLE - 1) // WHOLE + 1 if len(s) else 0
+            sizes.append(len(s))
+            firsts.append(np.concatenate([s[~often], s[often]])[:take].view("<i8"))
+        return pd.DataFrame({"n": np.array(sizes, dtype=np.int32), "first": pd.Series(firsts, dtype=object)})
+
+    return run(text_col)
+
+
+def common_shingles(texts: DataFrame, text_col: str, n_docs: int) -> np.ndarray:
+    share = max(1, n_docs // SAMPLE)
+    sample = texts.filter(F.pmod(F.xxhash64(F.col("__row")), F.lit(share)) == 0).select(F.explode(shingle_set(text_col)).alias("h"))
+    often = sample.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= COMMON).orderBy(F.desc("n"), "h").limit(MOST)
+    return np.sort(np.array([r.h for r in often.select("h").toLocalIterator()], dtype="<i8").view("<u8"))
+
+
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of candidate pairs (a, b) those whose whole sets are alike enough."""
+    side = lambda c: sets.select(F.col("row").alias(c), F.col("whole").alias(f"s{c}"))
+    met = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
+    both = met.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("o"))
+    return both.filter(WHOLE * F.col("o") >= PART * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
+
+
+def _may(a: str, b: str) -> Column:
+    """Whether sets that meet first at these places (n, at of both sides) can be alike enough; a pair's first meeting passes."""
+    col = lambda side, c: F.col(f"{side}.{c}")
+    rest = F.least(col(a, "n") - col(a, "at"), col(b, "n") - col(b, "at"))
+    return (PART + WHOLE) * rest >= PART * (col(a, "n") + col(b, "n"))
+
+
+def near_links(rows: DataFrame, sets_of) -> DataFrame:
+    """(a, b): links of a written table (row, n, first) whose components are those of all pairs alike enough; sets_of
+    gives (row, whole) for a table of rows."""
+    met = rows.select("row", "n", F.posexplode("first").alias("at", "h")).groupBy("h").agg(F.collect_list(F.struct("row", "n", "at")).alias("m")).filter(F.size("m") > 1)
+    flat = materialise(met.select("h", F.array_min("m").alias("least"), F.explode("m").alias("x")), "jaccard-meetings")
+    sets = materialise(sets_of(materialise(flat.select("x.row").distinct(), "jaccard-rows")), "jaccard-sets")
+    stars = materialise(flat.filter((F.col("x.row") != F.col("least.row")) & _may("x", "least")).select(F.col("least.row").alias("a"), F.col("x.row").alias("b")).distinct(), "jaccard-stars")
+    links = materialise(_alike(stars, sets), "jaccard-links")
+    labels = connected_components(links)
+    named = flat.select("h", "x", F.col("x.row").alias("row")).join(labels.withColumnRenamed("node", "row").hint("merge"), "row", "left")
+    named = materialise(named.select("h", "x", F.coalesce("label", "row").alias("label")), "jaccard-labelled")
+    mixed = named.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("h")
+    left = materialise(named.join(mixed.hint("merge"), "h"), "jaccard-mixed")
+    other = left.select("h", F.col("x").alias("y"), F.col("label").alias("label2"))
+    pairs = left.join(other.hint("merge"), "h").filter((F.col("x.row") < F.col("y.row")) & (F.col("label") != F.col("label2")) & _may("x", "y"))
+    rest = pairs.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
+    rest = materialise(rest.join(stars.hint("merge"), ["a", "b"], "left_anti"), "jaccard-pairs")
+    return links.unionByName(_alike(rest, sets))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component stays: that of the least id (null ids last; of repeated rows, one)."""
+    tagged = materialise(docs.withColumns({"__row": F.monotonically_increasing_id(), "__set": set_digest(text_col)}), "jaccard-docs")
+    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__row").alias("row"))).alias("first")
+    heads = materialise(tagged.groupBy("__set").agg(first).select("first", F.col("first.row").alias("row")), "jaccard-heads")
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(tagged, text_col, heads.count()))
+    firsts = tagged.select(F.col("__row").alias("row"), prefix(text_col, common).alias("p")).select("row", "p.n", "p.first")
+    rows = materialise(firsts.join(heads.select("row").hint("merge"), "row", "left_semi"), "jaccard-prefixes")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        texts = tagged.select(F.col("__row").alias("row"), text_col).join(wanted.hint("merge"), "row", "left_semi")
+        return texts.select("row", shingle_set(text_col).alias("whole"))
+
+    labels = connected_components(materialise(near_links(rows, sets_of), "jaccard-all-links"))
+    met = heads.join(labels.withColumnRenamed("node", "row").hint("merge"), "row", "left").select("first", F.coalesce("label", "row").alias("label"))
+    kept = materialise(met.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row")), "jaccard-kept")
+    return tagged.join(kept.hint("merge"), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
