@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,15 +15,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (as in tests), a new local one that is set from then on."""
+    """The folder named by spark.checkpoint.dir. Where it is unset, a local session (as in tests) gets a new local one,
+    which is set from then on; any other master is an error, as its executors would not share a local folder."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         if found.isDefined():
             path = found.get()
-        else:
+        elif re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             path = tempfile.mkdtemp(prefix="orrery-")
             spark.sparkContext.setCheckpointDir(path)
+        else:
+            raise ValueError("spark.checkpoint.dir names no shared folder")
     return path.rstrip("/")
 
 
@@ -36,7 +40,16 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     spark, path = df.sparkSession, new_path(df.sparkSession, tag)
     df = df.withColumns({c: df[c].cast("string") for c, kind in df.dtypes if kind == "void"})
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.written_at = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables that materialise() returned, once nothing reads them any more."""
+    for df in written:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(name: str = "text") -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import materialise
+from orrery.llm.common import discard, materialise
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -19,12 +19,15 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     both = materialise(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "cc-links")
     labels = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")), "cc-labels")
     while True:
-        near = both.join(labels, both.v == labels.node).groupBy("u").agg(F.min("label").alias("near"))
-        low = labels.join(near, labels.node == near.u, "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
+        now = labels.select("node", "label")
+        near = both.join(now, both.v == now.node).groupBy("u").agg(F.min("label").alias("near"))
+        low = now.join(near, now.node == near.u, "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
         low = materialise(low, "cc-low")
         of = low.select(F.col("node").alias("n"), F.col("label").alias("further"))
         jumped = low.join(of, low.label == of.n, "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label"))
-        labels = materialise(jumped, "cc-labels")
+        after = materialise(jumped, "cc-labels")
+        discard(low, labels)
+        labels = after
         if labels.filter("label <> old").isEmpty():
+            discard(both)
             return labels.select("node", "label")
-        labels = labels.select("node", "label")

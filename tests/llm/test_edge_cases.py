@@ -280,3 +280,41 @@ def test_pipeline_stages_keep_columns(spark, data):
         docs = spark.createDataFrame(out.collect(), out.schema)
     rows = corpus_pipeline.STAGES[-1][1](spark, docs, data).collect()
     assert len(rows) == docs.count() > 0
+
+
+def test_warc_chains_cross_tasks_and_survive_other_splits(spark):
+    fake = warc.MAGIC + "WARC-Type: response\r\nContent-Length: 7\r\n\r\nfakebod\r\n\r\n"
+    table = spark.range(200).selectExpr("id AS page_id", "concat('http://a/', id) AS url", f"CASE WHEN id % 7 = 0 THEN concat('{'z' * 40}', '{fake}', id) ELSE concat(repeat('p', 50 + cast(id % 90 AS int)), id) END AS payload")
+    path, kept = new_path(spark, "warc-test"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    warc.write_warc(warc.with_revisits(table.coalesce(1)), path)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        read = warc.read_warc(spark, path, stretch_bytes=1000)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")  # what is planned later may split otherwise
+        got = {re.search(r"urn:page:(\d*)", r.head)[1]: bytes(r.payload).decode() for r in read.collect()}
+        assert got == {str(r.page_id): r.payload for r in table.collect()}
+        nodes = spark.createDataFrame([("f", 0, k, 10 * k, 10 * k + 10, 0, 1) for k in range(40)] + [("f", 0, 3, 35, 36, 1, 1)], "file string, split long, stretch int, at long, leaves long, first long, steps long")
+        found, rounds = warc.reachable(nodes)
+        assert sorted(r.entry for r in found.collect()) == [10 * k for k in range(40)] and rounds > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    short = new_path(spark, "warc-test")
+    spark.read.text(path, wholetext=True).selectExpr("substring(value, 1, length(value) - 30) AS value").write.option("lineSep", "#").text(short)
+    with pytest.raises(ValueError, match="end together"):
+        warc.read_warc(spark, short)
+    assert warc.read_warc(spark, short, damaged="keep").count() == 200
+
+
+def test_numbers_tell_which_chains_come_by():
+    rng = random.Random(1)
+    for _ in range(50):
+        at = sorted(rng.sample(range(100), 20))
+        ahead = [rng.choice([b for b in at if b > a] + [200 + a % 3]) for a in at]
+        first, last, leaves, steps = warc._numbers(at, ahead)
+        succ = dict(zip(at, ahead))
+        for i, e in enumerate(at):
+            path = [e]
+            while succ.get(path[-1]) in succ:
+                path.append(succ[path[-1]])
+            assert {a for k, a in enumerate(at) if first[k] <= first[i] <= last[k]} == set(path)
+            assert (leaves[i], steps[i]) == (succ[path[-1]], len(path))
