@@ -9,14 +9,19 @@ row per block and bucket of words, zstd) and holds a word once a block at most,
 ``block_chars`` (or one document, if that is longer). Decoding joins the token-byte table (one row an id of
 the vocabulary file, which bounds its size) inside each task.
 
+A task remembers the ids of ``MEMO`` words. Beyond that it forgets them, and a word that comes again is encoded again: the
+results are the same, and a vocabulary of distinct words that outgrows memory costs time only.
+
 Nulls: a null text counts as empty; an empty text has no ids and decodes to no bytes. Null ids, repeated rows and rows
-that share an id each give a row of their own. Empty table: empty result. Other columns are ignored.
+that share an id each give a row of their own. Ids of any type that a cast to string and back keeps (whole numbers of any
+size, strings) come out as they went in. Empty table: empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -29,6 +34,8 @@ from pyspark.sql import functions as F
 from orrery.llm.common import documents
 
 BLOCK_CHARS = 4_000_000
+#: Tasks of the word shuffle and of reassembly get about so many characters of text each.
+TASK_CHARS = 32_000_000
 #: Longer pieces are merged with a heap here, as tiktoken's loop takes the square of a piece's length.
 LONG_PIECE = 500
 
@@ -92,7 +99,7 @@ def _unplanes(raw: bytes) -> np.ndarray:
 
 
 #: A row a block (bucket null, dealt to the block's own place) and a row a block and bucket of words (dealt by bucket).
-BLOCKS = "place long, block long, bucket int, words binary, ids array<long>, sizes array<int>, seq binary"
+BLOCKS = "place long, block long, bucket int, words binary, ids array<string>, sizes array<int>, seq binary"
 
 
 def _blocks(pattern: str, block_chars: int, buckets: int):
@@ -129,10 +136,10 @@ def _blocks(pattern: str, block_chars: int, buckets: int):
             return pd.DataFrame(rows, columns=[c.split()[0] for c in BLOCKS.split(", ")]).astype({"bucket": "Int32"})
 
         for batch in batches:
-            for key, text in zip(batch["id"].astype(object), batch["text"]):
+            for key, text in zip(batch["id"], batch["text"]):
                 text = text or ""
                 seqs.append(np.fromiter(map(index.__getitem__, find(text)), dtype=np.int64))
-                ids.append(None if pd.isna(key) else int(key))
+                ids.append(key)
                 chars += len(text)
                 if chars >= block_chars:
                     yield emit()
@@ -147,14 +154,15 @@ def _blocks(pattern: str, block_chars: int, buckets: int):
 MEMO = 2_000_000
 
 
-def _encode_words(ranks, pattern: str):
+def _encode_words(ranks):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import tiktoken
         import zstandard
 
         pack, unpack = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
         table, memo = ranks.value, {}
-        piece = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})._encode_single_piece
+        # a word is a pre-token already: this pattern takes it whole
+        encode_word = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=table, special_tokens={}).encode_ordinary
         for batch in batches:
             out = []
             batch = batch[batch["bucket"].notna()]
@@ -169,7 +177,7 @@ def _encode_words(ranks, pattern: str):
                     a = b
                     ids = memo.get(word)
                     if ids is None:
-                        ids = memo[word] = piece(word) if len(word) <= LONG_PIECE else merge_long(word, table)
+                        ids = memo[word] = encode_word(word.decode()) if len(word) <= LONG_PIECE else merge_long(word, table)
                     found.append(ids)
                 counts = np.array(list(map(len, found)), dtype="<u4")
                 out.append(pack(_planes(np.concatenate([counts, np.array([i for ids in found for i in ids], dtype="<u4")]))) + n.to_bytes(4, "little"))
@@ -203,7 +211,7 @@ def _reassemble(words: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
             n = count[s]
             ids.append(key)
             out.append(flat[np.repeat(start[s] - (np.cumsum(n) - n), n) + np.arange(n.sum())] if size else flat[:0])
-    return pd.DataFrame({"id": pd.array([None if pd.isna(k) else int(k) for k in ids], dtype="Int64"), "tokens": pd.Series(out, dtype=object)})
+    return pd.DataFrame({"id": pd.Series(ids, dtype=object), "tokens": pd.Series(out, dtype=object)})
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, pattern: str | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -211,13 +219,16 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     spark = docs.sparkSession
     vocabulary, pattern = vocabulary or default_vocabulary()[0], pattern or default_vocabulary()[1]
     ranks = spark.sparkContext.broadcast(load_ranks(vocabulary))
-    buckets = 2 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(_blocks(pattern, block_chars, buckets), BLOCKS)
+    # tasks by the input's size, so that what one reads doesn't grow with it; ids pass through Python as text
+    chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(chars / TASK_CHARS))
+    buckets = 2 * tasks
+    blocks = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInPandas(_blocks(pattern, block_chars, buckets), BLOCKS)
     # one exchange serves both uses: words meet by bucket, and a block's positions wait where its ids will come
-    dealt = blocks.repartition(buckets // 2, "place")
-    coded = dealt.mapInPandas(_encode_words(ranks, pattern), "home long, bucket int, coded binary")
-    found = coded.groupBy("home").cogroup(dealt.groupBy("place")).applyInPandas(_reassemble, "id long, tokens array<int>")
-    return found.withColumnRenamed("id", id_col)
+    dealt = blocks.repartition(tasks, "place")
+    coded = dealt.mapInPandas(_encode_words(ranks), "home long, bucket int, coded binary")
+    found = coded.groupBy("home").cogroup(dealt.groupBy("place")).applyInPandas(_reassemble, "id string, tokens array<int>")
+    return found.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "tokens")
 
 
 def token_bytes(spark: SparkSession, vocabulary: str | None = None) -> list[bytes]:
