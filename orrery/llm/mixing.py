@@ -6,7 +6,8 @@ probability r - floor(r), where r is its source's target over its size. The cube
 inclusion probabilities move along the null space of the constraints (word total, document total) until each document
 but two is in or out. It runs in parallel over blocks of one source, then over what the blocks left, level by level, so
 that only a landing problem of two documents a source remains, which is settled by the outcome nearest the totals.
-Draws come from a seed and the block, so reruns agree.
+Draws come from a seed, the block and a hash of the whole row, so reruns agree however rows are dealt out; which of rows
+equal in all columns is taken makes no difference.
 
 Nulls: a null text counts as empty (size 0, taken 0 words), null sources are one source of their own, null ids and
 repeated rows are documents like others. An empty table gives an empty result. Other columns are ignored by
@@ -16,6 +17,7 @@ repeated rows are documents like others. An empty table gives an empty result. O
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -183,8 +185,8 @@ def sized(text_col: str = "text"):
 
 def units_of(docs: DataFrame, id_col: str, source_col: str, text_col: str, row) -> DataFrame:
     size = sized(text_col)
-    found = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), row.alias("row"), size.alias("size"))
-    return materialise(found.withColumn("key", F.xxhash64(F.coalesce("id", "row"), "size", "source")), "mix-units")
+    hashed = [F.col(f"`{c}`") for c in sorted(docs.columns) if not c.startswith("__") and not re.search("map<|variant", docs.schema[c].dataType.simpleString())]
+    return materialise(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), row.alias("row"), size.alias("size"), F.xxhash64(*hashed).alias("key")), "mix-units")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
