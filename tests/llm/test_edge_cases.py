@@ -318,3 +318,38 @@ def test_numbers_tell_which_chains_come_by():
                 path.append(succ[path[-1]])
             assert {a for k, a in enumerate(at) if first[k] <= first[i] <= last[k]} == set(path)
             assert (leaves[i], steps[i]) == (succ[path[-1]], len(path))
+
+
+def test_pii_of_very_many_matches_in_one_text(spark):
+    n = 60_000
+    rows = pii.find_pii(spark.createDataFrame([(1, "é xy ".join(["a@b.co"] * n))], "doc_id long, text string"))
+    found = rows.selectExpr("size(spans) AS n", f"transform(array(1, 244, 245, 246, {n - 1}), i -> spans[i].start) AS at").first()
+    assert found.n == n and found["at"] == [11 * i for i in (1, 244, 245, 246, n - 1)]
+
+
+def test_secrets_need_their_form_or_context(spark):
+    rng, texts, planted = random.Random(9), [], {}
+    for i in range(200):
+        code = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        key = "AKIA" + "".join(rng.choice("0123456789ABCDEFGHIJ") for _ in range(16))
+        kind = i % 4
+        planted[i] = [f'some words then token = "{code}" and more', f"plainly {key} without any word for it", f"a revision {code} of the file", f"the long-hyphenated-compound-word-without-digits number {i}"][kind], kind < 2
+        texts.append((i, planted[i][0]))
+    got = {r.doc_id: [s for s in r.spans if s.kind == "secret"] for r in pii.find_pii(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert all(bool(got[i]) == found for i, (_, found) in planted.items())
+    assert all(t[s.start : s.end] == s.value and s.score >= 0.6 for i, t in texts for s in got[i])
+
+
+def test_byte_bpe_keeps_ids_of_any_size_beside_nulls(spark):
+    ids = [9007199254740993, None, 9007199254740995, -(2**63), None]
+    rows = byte_bpe.encode(spark.createDataFrame([(k, f"text {i}") for i, k in enumerate(ids)], "doc_id long, text string").coalesce(1)).collect()
+    assert sorted(map(str, (r.doc_id for r in rows))) == sorted(map(str, ids))
+    named = byte_bpe.encode(spark.createDataFrame([("a", "x"), ("00", "y")], "doc_id string, text string")).collect()
+    assert {r.doc_id for r in named} == {"a", "00"}
+
+
+def test_mix_of_null_ids_does_not_follow_partitions(spark):
+    rows = [(None, f"{'w ' * (i % 37)}{i}", "en", "ab"[i % 2], i, "x", "x", "x") for i in range(300)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    taken = lambda df: sorted((r.text, r.n_chars) for r in mixing.mix(df).collect())
+    assert taken(docs.coalesce(1)) == taken(docs.repartition(7))
