@@ -35,7 +35,7 @@ from orrery.llm.common import documents
 
 BLOCK_CHARS = 4_000_000
 #: Tasks of the word shuffle and of reassembly get about so many characters of text each.
-TASK_CHARS = 32_000_000
+TASK_CHARS = 12_000_000
 #: Longer pieces are merged with a heap here, as tiktoken's loop takes the square of a piece's length.
 LONG_PIECE = 500
 
@@ -151,7 +151,7 @@ def _blocks(pattern: str, block_chars: int, buckets: int):
 
 
 #: Words that a task remembers the ids of; beyond, it forgets them all and encodes a word again when it comes again.
-MEMO = 2_000_000
+MEMO = 500_000
 
 
 def _encode_words(ranks):
