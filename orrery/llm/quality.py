@@ -2,12 +2,14 @@
 
 Every line gets binary features (share of capitals and symbols, repeated words, length, ending). The field is trained
 here, on the driver, by gradient ascent on at most ``max_labelled`` labelled documents (a documented bound; the sample
-is the first by a hash of the id, whatever the table's size), each line taking its document's label. Viterbi decoding
-then labels the lines of every document; a document is kept if at least ``least_share`` of its words stand in content
-lines and no base rule fails.
+is the first by a hash of the id, whatever the table's size). A document's label narrows what its lines may be
+(``allowed``), and the likelihood is that of all labellings it leaves open, so changes between content and boilerplate
+inside documents are learnt as well. Viterbi decoding then labels the lines of every document; a document is kept if at
+least ``least_share`` of its words stand in content lines and no base rule fails.
 
 Nulls: a null text counts as empty (no words, so it fails the base rule of 50 words). Labels that are null are not
-used; without labels of both kinds every line counts as content. Ids, repeated rows and other columns pass through; an
+used; without labels of both kinds every line counts as content. Of labels that share an id the largest counts, and of
+texts that do, that of the least hash. Ids are of any type that can be ordered. Ids, repeated rows and other columns pass through; an
 empty table gives an empty result. Work is one pass inside map tasks, in groups of ``GROUP_CHARS`` characters or one text.
 """
 
@@ -19,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from orrery.llm.common import documents
 
@@ -61,8 +64,9 @@ def repeat_words(words: list[bytes]) -> int:
 def measure(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Per text: the five statistics and its number of lines; per line: features and words."""
     whole = "\n".join(texts) + "\n"
-    kinds = CLASSES[np.minimum(np.frombuffer(whole.encode("utf-32-le"), dtype="<u4"), 0x250)]
-    ends = np.flatnonzero(np.frombuffer(whole.encode("utf-32-le"), dtype="<u4") == 10)
+    points = np.frombuffer(whole.encode("utf-32-le"), dtype="<u4")
+    kinds = CLASSES[np.minimum(points, 0x250)]
+    ends = np.flatnonzero(points == 10)
     starts = np.concatenate([[0], ends[:-1] + 1])
     per_line = lambda mask: np.add.reduceat(mask.astype(np.int32), starts)
     solid = (kinds & _BLANK) == 0
@@ -96,41 +100,66 @@ def measure(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return stats, lines_of, features, words
 
 
-def train(features: np.ndarray, lines_of: np.ndarray, labels: np.ndarray, rounds: int = 120, rate: float = 0.15, ridge: float = 0.01) -> tuple[np.ndarray, np.ndarray]:
-    """Emission (features x 2) and transition (2 x 2) weights of greatest penalised likelihood."""
-    runs, marks = [], []
-    for stop, n, y in zip(np.cumsum(lines_of), lines_of, labels):
-        for a in range(stop - n, stop, WINDOW):
-            runs.append((a, min(a + WINDOW, stop)))
-            marks.append(int(y))
+def allowed(features: np.ndarray, lines_of: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Per line, which labels (boilerplate, content) training lets it have.
+
+    A document's label says what it is mostly, not what each line is. In good documents, lines without marks of
+    boilerplate (shouting, symbols, pipes, repetition) are content and marked lines are open. In bad ones, marked lines
+    are boilerplate, plain sentences content and the others open, unless no line is marked: then all are boilerplate."""
+    f = features.astype(bool)
+    marked = f[:, [1, 3, 5, 10, 11, 12]].any(axis=1)
+    plain = f[:, 9] & ~f[:, [2, 4, 6]].any(axis=1) & ~marked
+    out, stop = np.ones((len(f), 2), dtype=bool), 0
+    for n, y in zip(lines_of.tolist(), labels.tolist()):
+        a, stop = stop, stop + n
+        own = marked[a:stop]
+        if y:
+            out[a:stop, 0] = own
+        else:
+            out[a:stop, 1] = ~own & own.any()
+            out[a:stop, 0] = ~plain[a:stop] | ~own.any()
+    return out
+
+
+def _expected(e: np.ndarray, move: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per line the chances of both labels, and the expected counts of transitions, given scores e (run, line, label)."""
+    size = e.shape[1]
+    alpha, beta = np.zeros_like(e), np.zeros_like(e)
+    alpha[:, 0] = e[:, 0]
+    for t in range(1, size):
+        nxt = np.logaddexp(alpha[:, t - 1, :1] + move[0], alpha[:, t - 1, 1:] + move[1]) + e[:, t]
+        alpha[:, t] = np.where(mask[:, t, None], nxt, alpha[:, t - 1])
+    for t in range(size - 2, -1, -1):
+        ahead = e[:, t + 1] + beta[:, t + 1]
+        prev = np.logaddexp(ahead[:, :1] + move[:, 0], ahead[:, 1:] + move[:, 1])
+        beta[:, t] = np.where(mask[:, t + 1, None], prev, 0)
+    z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])[:, None]
+    share = np.exp(alpha + beta - z[:, :, None]) * mask[:, :, None]
+    both, pairs = mask[:, 1:] & mask[:, :-1], np.zeros((2, 2))
+    for a in (0, 1):
+        for b in (0, 1):
+            pairs[a, b] = (np.exp(alpha[:, :-1, a] + move[a, b] + e[:, 1:, b] + beta[:, 1:, b] - z) * both).sum()
+    return share, pairs
+
+
+def train(features: np.ndarray, lines_of: np.ndarray, labels: np.ndarray, rounds: int = 60, rate: float = 0.3, ridge: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+    """Emission (features x 2) and transition (2 x 2) weights of greatest penalised likelihood of the allowed labels."""
+    open_ = allowed(features, lines_of, labels)
+    kinds, code = np.unique(features, axis=0, return_inverse=True)
+    runs = [(a, min(a + WINDOW, stop)) for stop, n in zip(np.cumsum(lines_of), lines_of) for a in range(stop - n, stop, WINDOW)]
     size = max(b - a for a, b in runs)
-    x, mask, y = np.zeros((len(runs), size, features.shape[1])), np.zeros((len(runs), size), dtype=bool), np.array(marks)
+    x, mask, shut = np.zeros((len(runs), size), dtype=np.int64), np.zeros((len(runs), size), dtype=bool), np.zeros((len(runs), size, 2))
     for i, (a, b) in enumerate(runs):
-        x[i, : b - a], mask[i, : b - a] = features[a:b], True
+        x[i, : b - a], mask[i, : b - a], shut[i, : b - a] = code.ravel()[a:b], True, np.where(open_[a:b], 0.0, -1e4)
     emit, move = np.zeros((features.shape[1], 2)), np.zeros((2, 2))
     moments = [np.zeros_like(emit), np.zeros_like(move), np.zeros_like(emit), np.zeros_like(move)]
     n = mask.sum()
     for step in range(1, rounds + 1):
-        e = x @ emit
-        alpha, beta = np.zeros_like(e), np.zeros_like(e)
-        alpha[:, 0] = e[:, 0]
-        for t in range(1, size):
-            nxt = np.logaddexp(alpha[:, t - 1, :1] + move[0], alpha[:, t - 1, 1:] + move[1]) + e[:, t]
-            alpha[:, t] = np.where(mask[:, t, None], nxt, alpha[:, t - 1])
-        for t in range(size - 2, -1, -1):
-            ahead = e[:, t + 1] + beta[:, t + 1]
-            prev = np.logaddexp(ahead[:, :1] + move[:, 0], ahead[:, 1:] + move[:, 1])
-            beta[:, t] = np.where(mask[:, t + 1, None], prev, 0)
-        z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])[:, None, None]
-        share = np.exp(alpha + beta - z) * mask[:, :, None]
-        grad_emit = np.stack([(x * (mask & (y[:, None] == k))[:, :, None]).sum((0, 1)) for k in (0, 1)], axis=1) - np.einsum("stf,stk->fk", x, share)
-        grad_move = np.zeros((2, 2))
-        both = mask[:, 1:] & mask[:, :-1]
-        for a in (0, 1):
-            for b in (0, 1):
-                pair = np.exp(alpha[:, :-1, a] + move[a, b] + e[:, 1:, b] + beta[:, 1:, b] - z[:, :, 0]) * both
-                grad_move[a, b] = (both & (y[:, None] == a) & (a == b)).sum() - pair.sum()
-        for k, (w, g) in enumerate(((emit, grad_emit), (move, grad_move))):
+        e = (kinds @ emit)[x]
+        wanted, wanted_pairs = _expected(e + shut, move, mask)
+        found, found_pairs = _expected(e, move, mask)
+        gap = np.stack([np.bincount(x.ravel(), (wanted - found)[:, :, k].ravel(), len(kinds)) for k in (0, 1)], axis=1)
+        for k, (w, g) in enumerate(((emit, kinds.T @ gap), (move, wanted_pairs - found_pairs))):
             g = g / n - ridge * w
             moments[k] = 0.9 * moments[k] + 0.1 * g
             moments[k + 2] = 0.99 * moments[k + 2] + 0.01 * g * g
@@ -173,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     found = {r.id: int(r.y) for r in marks.collect()}  # max_labelled rows at most
     if len(set(found.values())) < 2:
         return None
-    ids = docs.sparkSession.createDataFrame([(k,) for k in found], "id long")
+    ids = docs.sparkSession.createDataFrame([(k,) for k in found], StructType([StructField("id", labels.schema[id_col].dataType)]))
 
     @F.pandas_udf("lines long, features binary")
     def lines(texts: pd.Series) -> pd.DataFrame:
@@ -181,7 +210,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return pd.DataFrame({"lines": [int(p[1][0]) for p in parts], "features": [p[2].astype(np.uint8).tobytes() for p in parts]})
 
     sample = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(ids), "id")
-    one = sample.select("id", lines("text").alias("m"), F.xxhash64("text").alias("h")).dropDuplicates(["id"])
+    # of texts that share an id, that of the least hash counts
+    one = sample.select("id", F.struct(F.xxhash64("text").alias("h"), lines("text").alias("m")).alias("x")).groupBy("id").agg(F.min("x").alias("x")).select("id", "x.m")
     rows = sorted(one.collect(), key=lambda r: r.id)  # one row a labelled id, bits of features only
     if len({found[r.id] for r in rows}) < 2:
         return None
