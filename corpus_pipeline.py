@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import byte_bpe, jaccard, line_dedup, mixing, quality
+from orrery.llm import byte_bpe, line_dedup, mixing, near_copies as near, quality
 from orrery.llm.common import documents, materialise
 
 
@@ -25,8 +25,8 @@ def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles with a Jaccard similarity of 0.8 or more."""
-    return jaccard.drop_near_copies(docs)
+    """One document of each group of near copies: SimHash tiles over five-word shingles, a Jaccard similarity of 0.8 or more."""
+    return near.drop_near_copies(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,6 +52,15 @@ def discard(*written: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: A table of a few numbers a row is broadcast up to so many rows (some 40 bytes each).
+MOST_BESIDE = 2_000_000
+
+
+def beside(written: DataFrame, most: int = MOST_BESIDE) -> DataFrame:
+    """A written narrow table as the smaller side of a join: broadcast if it has at most ``most`` rows, else merged."""
+    return F.broadcast(written) if written.count() <= most else written.hint("merge")
+
+
 def text_of(name: str = "text") -> Column:
     """A text column in which null counts as empty."""
     return F.coalesce(F.col(name), F.lit(""))

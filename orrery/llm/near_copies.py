@@ -1,13 +1,14 @@
-"""Near copies by exact Jaccard similarity of five-word shingles, at 0.8 or more.
-
-Shingle sets are compared as 64-bit hashes. Documents of equal sets collapse first. Two sets of similarity s share an
-element among the first n - ceil(s n) + 1 of each in any common order (prefix filtering), so candidates are the pairs
-that meet in such an element: none is lost and none is capped. The order puts shingles last that many documents of a
-sample share, so that boilerplate seldom makes candidates; the sample decides only how much is compared. Every
-candidate's similarity is then computed from the whole sets.
-
-Candidates are compared in two rounds: each element's documents with the least of them, then all pairs that this left in
-different components. A group of thousands of near copies is so mostly joined by stars instead of all its pairs.
+"""Near copies: five-word shingles with a Jaccard similarity of 0.8 or more, found by SimHash tiles and checked exactly.
+
+Documents of equal shingle sets collapse first. Candidates are then found in two rounds of tiled SimHash comparison.
+The first takes fingerprints within three bits, which finds most copies as spanning forests instead of pairs. Sets that
+are just 0.8 alike differ by about 10 of 64 bits, where blocks of equal bits no longer separate anything; so the second
+round tiles the documents that share one of their rarest shingles. Two sets of similarity s share an element among the first n - ceil(s n) + 1 of each in
+any common order (prefix filtering), so every such pair meets. Tiles are compared by exclusive-or and bit counts within
+``WIDE`` bits, tile pairs whose population counts differ by more are skipped, and so is what the first round joined. Each
+candidate's similarity is then computed exactly from the whole sets; a pair of similarity 0.8 lies beyond ``WIDE`` bits about
+once in a million. The order puts shingles last that many documents of a sample share, so that boilerplate seldom makes
+groups; the sample decides only how much is compared.
 
 Nulls: a null text counts as empty; empty texts equal one another. Up to five words are one shingle. Null ids come last.
 Repeated rows are copies. Empty table: empty result. Other columns pass through.
@@ -15,17 +16,23 @@ Repeated rows are copies. Empty table: empty result. Other columns pass through.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import materialise
+from orrery.llm import simhash
+from orrery.llm.common import beside, discard, materialise
 from orrery.llm.components import connected_components
 
 SHINGLE = 5
 #: The least similarity, as a fraction of whole numbers: comparisons stay exact.
 PART, WHOLE = 4, 5
+#: Bits within which the second round takes candidates: five deviations beyond the mean of pairs of similarity 0.8.
+WIDE = 24
+TILE = 2048
 SAMPLE = 20_000
 #: A shingle in this many sampled documents goes last; of these at most MOST are broadcast (8 bytes each).
 COMMON, MOST = 4, 1 << 20
@@ -56,29 +63,21 @@ def shingle_set(text_col: str) -> Column:
     return run(text_col)
 
 
-def set_digest(text_col: str) -> Column:
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        import xxhash
-
-        return pd.Series([xxhash.xxh3_128_hexdigest(shingles(t).tobytes()) for t in texts])
-
-    return run(text_col)
-
-
-def prefix(text_col: str, common) -> Column:
-    """(n, first): the size of the set and its elements up to the prefix's length, common ones last."""
+def marks(text_col: str, common) -> Column:
+    """A digest of the set, its size and fingerprint, and its elements up to the prefix's length, common ones last."""
 
-    @F.pandas_udf("n int, first array<long>")
+    @F.pandas_udf("digest string, n int, fp long, first array<long>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        late, sizes, firsts = common.value, [], []
+        import xxhash
+
+        late, out = common.value, []
         for t in texts:
             s = shingles(t)
             often = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s if len(late) else np.zeros(len(s), dtype=bool)
             take = len(s) - (PART * len(s) + WHOLE - 1) // WHOLE + 1 if len(s) else 0
-            sizes.append(len(s))
-            firsts.append(np.concatenate([s[~often], s[often]])[:take].view("<i8"))
-        return pd.DataFrame({"n": np.array(sizes, dtype=np.int32), "first": pd.Series(firsts, dtype=object)})
+            fp = simhash.majority(s) if len(s) else 0
+            out.append((xxhash.xxh3_128_hexdigest(s.tobytes()), len(s), fp - (1 << 64) if fp >> 63 else fp, np.concatenate([s[~often], s[often]])[:take].view("<i8")))
+        return pd.DataFrame(out, columns=["digest", "n", "fp", "first"]).astype({"n": "int32", "fp": "int64"})
 
     return run(text_col)
 
@@ -90,55 +89,66 @@ def common_shingles(texts: DataFrame, text_col: str, n_docs: int) -> np.ndarray:
     return np.sort(np.array([r.h for r in often.select("h").toLocalIterator()], dtype="<i8").view("<u8"))
 
 
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of candidate pairs (a, b) those whose whole sets are alike enough."""
+def _alike(pairs: DataFrame, tagged: DataFrame, text_col: str) -> DataFrame:
+    """Of a written table of candidate pairs (a, b) those whose whole sets are alike enough."""
+    rows = materialise(pairs.select(F.explode(F.array("a", "b")).alias("__row")).distinct(), "near-rows")
+    # only texts of candidates are hashed again
+    texts = tagged.select("__row", text_col).join(beside(rows), "__row", "left_semi")
+    sets = materialise(texts.select(F.col("__row").alias("row"), shingle_set(text_col).alias("whole")), "near-sets")
     side = lambda c: sets.select(F.col("row").alias(c), F.col("whole").alias(f"s{c}"))
     met = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
     both = met.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("o"))
-    return both.filter(WHOLE * F.col("o") >= PART * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
-
-
-def _may(a: str, b: str) -> Column:
-    """Whether sets that meet first at these places (n, at of both sides) can be alike enough; a pair's first meeting passes."""
-    col = lambda side, c: F.col(f"{side}.{c}")
-    rest = F.least(col(a, "n") - col(a, "at"), col(b, "n") - col(b, "at"))
-    return (PART + WHOLE) * rest >= PART * (col(a, "n") + col(b, "n"))
-
-
-def near_links(rows: DataFrame, sets_of) -> DataFrame:
-    """(a, b): links of a written table (row, n, first) whose components are those of all pairs alike enough; sets_of
-    gives (row, whole) for a table of rows."""
-    met = rows.select("row", "n", F.posexplode("first").alias("at", "h")).groupBy("h").agg(F.collect_list(F.struct("row", "n", "at")).alias("m")).filter(F.size("m") > 1)
-    flat = materialise(met.select("h", F.array_min("m").alias("least"), F.explode("m").alias("x")), "jaccard-meetings")
-    sets = materialise(sets_of(materialise(flat.select("x.row").distinct(), "jaccard-rows")), "jaccard-sets")
-    stars = materialise(flat.filter((F.col("x.row") != F.col("least.row")) & _may("x", "least")).select(F.col("least.row").alias("a"), F.col("x.row").alias("b")).distinct(), "jaccard-stars")
-    links = materialise(_alike(stars, sets), "jaccard-links")
-    labels = connected_components(links)
-    named = flat.select("h", "x", F.col("x.row").alias("row")).join(labels.withColumnRenamed("node", "row").hint("merge"), "row", "left")
-    named = materialise(named.select("h", "x", F.coalesce("label", "row").alias("label")), "jaccard-labelled")
-    mixed = named.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("h")
-    left = materialise(named.join(mixed.hint("merge"), "h"), "jaccard-mixed")
-    other = left.select("h", F.col("x").alias("y"), F.col("label").alias("label2"))
-    pairs = left.join(other.hint("merge"), "h").filter((F.col("x.row") < F.col("y.row")) & (F.col("label") != F.col("label2")) & _may("x", "y"))
-    rest = pairs.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct()
-    rest = materialise(rest.join(stars.hint("merge"), ["a", "b"], "left_anti"), "jaccard-pairs")
-    return links.unionByName(_alike(rest, sets))
+    links = materialise(both.filter(WHOLE * F.col("o") >= PART * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b"), "near-links")
+    discard(rows, sets)
+    return links
+
+
+def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of rows in a tile, or in two, that lie within WIDE bits, have sizes that allow it and are not joined yet."""
+    for batch in batches:
+        found = [np.empty((0, 2), dtype=np.int64)]
+        for tiles in batch["tiles"]:
+            x, y = ({k: np.array([r[k] for r in t], dtype=np.int64) for k in ("row", "n", "fp", "label")} for t in (tiles[0], tiles[-1]))
+            step = max(1, (1 << 20) // len(y["fp"]))
+            for at in range(0, len(x["fp"]), step):
+                a = {k: v[at : at + step, None] for k, v in x.items()}
+                near = np.bitwise_count((a["fp"] ^ y["fp"]).view(np.uint64)) <= WIDE
+                near &= (a["label"] != y["label"]) & (WHOLE * np.minimum(a["n"], y["n"]) >= PART * np.maximum(a["n"], y["n"]))
+                i, j = np.nonzero(near)
+                pair = np.sort(np.stack([x["row"][at + i], y["row"][j]], axis=1), axis=1)
+                found.append(np.unique(pair, axis=0))
+        yield pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+
+
+def near_links(rows: DataFrame, tagged: DataFrame, text_col: str) -> DataFrame:
+    """(a, b): links of a written table (row, n, fp, first), a row a distinct set, whose components are those of all
+    pairs alike enough."""
+    prints = materialise(rows.groupBy("fp").agg(F.min("row").alias("least")), "near-prints")
+    close = materialise(simhash.near_links(prints.select("fp"), simhash.RADIUS), "near-close")
+    of = lambda c: prints.select(F.col("fp").alias(c), F.col("least").alias(f"row_{c}"))
+    pairs = close.join(of("a").hint("merge"), "a").join(of("b").hint("merge"), "b").select(F.col("row_a").alias("a"), F.col("row_b").alias("b"))
+    equal = rows.join(prints.hint("merge"), "fp").filter("row <> least").select(F.col("least").alias("a"), F.col("row").alias("b"))
+    links = _alike(materialise(pairs.unionByName(equal), "near-pairs"), tagged, text_col)
+    labels = connected_components(links).withColumnRenamed("node", "row")
+    named = materialise(rows.join(labels.hint("merge"), "row", "left").select("row", "n", "fp", "first", F.coalesce("label", "row").alias("label")), "near-labelled")
+    shared = named.select(F.explode("first").alias("h"), "label").groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("h")
+    met = named.select(F.explode("first").alias("h"), F.struct("row", "n", "fp", "label").alias("item")).join(materialise(shared, "near-shared").hint("merge"), "h")
+    met = materialise(met.withColumn("ones", F.bit_count("item.fp")), "near-meetings")
+    wider = simhash.tiled(met, ["h"], "item", WIDE, TILE).mapInPandas(_candidates, "a long, b long").distinct()
+    return links.unionByName(_alike(materialise(wider, "near-wider"), tagged, text_col))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component stays: that of the least id (null ids last; of repeated rows, one)."""
-    tagged = materialise(docs.withColumns({"__row": F.monotonically_increasing_id(), "__set": set_digest(text_col)}), "jaccard-docs")
-    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__row").alias("row"))).alias("first")
-    heads = materialise(tagged.groupBy("__set").agg(first).select("first", F.col("first.row").alias("row")), "jaccard-heads")
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(tagged, text_col, heads.count()))
-    firsts = tagged.select(F.col("__row").alias("row"), prefix(text_col, common).alias("p")).select("row", "p.n", "p.first")
-    rows = materialise(firsts.join(heads.select("row").hint("merge"), "row", "left_semi"), "jaccard-prefixes")
-
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        texts = tagged.select(F.col("__row").alias("row"), text_col).join(wanted.hint("merge"), "row", "left_semi")
-        return texts.select("row", shingle_set(text_col).alias("whole"))
-
-    labels = connected_components(materialise(near_links(rows, sets_of), "jaccard-all-links"))
+    tagged = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "near-docs")
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(tagged, text_col, tagged.count()))
+    marked = tagged.select(F.col("__row").alias("row"), F.col(id_col).alias("id"), marks(text_col, common).alias("m")).select("row", "id", "m.*")
+    marked = materialise(marked, "near-marks")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))).alias("first")
+    heads = materialise(marked.groupBy("digest").agg(first).select("first", F.col("first.row").alias("row")), "near-heads")
+    rows = materialise(marked.select("row", "n", "fp", "first").join(heads.select("row").hint("merge"), "row", "left_semi"), "near-sets")
+    labels = connected_components(materialise(near_links(rows, tagged, text_col), "near-all-links"))
     met = heads.join(labels.withColumnRenamed("node", "row").hint("merge"), "row", "left").select("first", F.coalesce("label", "row").alias("label"))
-    kept = materialise(met.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row")), "jaccard-kept")
-    return tagged.join(kept.hint("merge"), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = met.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
+    gone = materialise(marked.select("row").join(materialise(kept, "near-kept").hint("merge"), "row", "left_anti").select(F.col("row").alias("__row")), "near-gone")
+    return tagged.join(beside(gone), "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

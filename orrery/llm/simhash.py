@@ -10,7 +10,7 @@ propagation over written tables.
 
 Nulls: a null text counts as empty and has fingerprint zero, linked like any other; null ids never name a component
 unless all its ids are null. Repeated rows share a fingerprint and each gives a row. Empty table: empty result. Other
-columns pass through the filter untouched.
+columns are ignored. ``near_copies`` builds the pipeline's stage on these tiles.
 """
 
 from __future__ import annotations
@@ -46,12 +46,16 @@ def simhash(text: str | None, shingle: int = 3) -> int:
         ends.append(len(flat))
         digest = xxhash.xxh64_intdigest
         hashes = [digest(flat[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :])]
+    return majority(np.array(hashes, dtype="<u8"))
+
+
+def majority(whole: np.ndarray) -> int:
+    """The number whose bits are those set in over half the hashes."""
     bits = np.zeros(64, dtype=np.int64)
-    whole = np.array(hashes, dtype="<u8")
     for at in range(0, len(whole), 1 << 16):
         part = whole[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
         bits += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * bits > len(hashes), bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * bits > len(whole), bitorder="little").view("<u8")[0])
 
 
 def fingerprint(text_col: str, shingle: int = 3) -> Column:
@@ -117,27 +121,20 @@ def _compare(radius: int):
     return run
 
 
-def near_links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """(a, b): links between distinct fingerprints (column fp, each once) whose components are those of all pairs
-    within the radius."""
-    blocks = radius + 1
-    cuts = [64 * i // blocks for i in range(blocks + 1)]
-    keys = [
-        F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", cuts[i]).bitwiseAND(F.lit((1 << (cuts[i + 1] - cuts[i])) - 1)).alias("value"))
-        for i in range(blocks)
-    ]
-    rows = prints.select("fp", F.bit_count("fp").alias("ones"), F.explode(F.array(*keys)).alias("k")).select("k.block", "k.value", "fp", "ones")
-    sizes = rows.groupBy("block", "value", "ones").agg(F.count(F.lit(1)).alias("n"))
-    wide = sizes.groupBy("block", "value").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("ones", "n"))).alias("by_ones")).filter(F.col("total") > 1)
+def tiled(rows: DataFrame, keys: list[str], item: str, radius: int, tile: int) -> DataFrame:
+    """(tiles): one or two arrays of items to compare, so that all pairs of rows of equal keys are compared whose
+    population counts (column ``ones``) differ by no more than the radius; larger groups are cut into many tiles."""
+    sizes = rows.groupBy(*keys, "ones").agg(F.count(F.lit(1)).alias("n"))
+    wide = sizes.groupBy(*keys).agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("ones", "n"))).alias("by_ones")).filter(F.col("total") > 1)
     wide = materialise(wide, "simhash-groups")
-    met = rows.join(wide, ["block", "value"])
+    met = rows.join(wide, keys)
     big = F.col("total") > tile
     parts = lambda ones: F.greatest(F.ceil(F.col("by_ones")[ones] / tile), F.lit(1)).cast("int")
     tiles = (
         met.withColumn("band", F.when(big, F.col("ones")).otherwise(-1))
-        .withColumn("part", F.when(big, F.pmod(F.xxhash64("fp"), parts(F.col("ones")))).otherwise(0).cast("int"))
-        .groupBy("block", "value", "band", "part")
-        .agg(F.collect_list("fp").alias("tile"), F.first("by_ones").alias("by_ones"))
+        .withColumn("part", F.when(big, F.pmod(F.xxhash64(item), parts(F.col("ones")))).otherwise(0).cast("int"))
+        .groupBy(*keys, "band", "part")
+        .agg(F.collect_list(item).alias("tile"), F.first("by_ones").alias("by_ones"))
     )
     tiles = materialise(tiles, "simhash-tiles")
     small = tiles.filter("band < 0").select(F.array("tile").alias("tiles"))
@@ -145,9 +142,22 @@ def near_links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Dat
     bands = F.filter(F.sequence(F.col("band") - radius, F.col("band") + radius), lambda b: F.map_contains_key("by_ones", b))
     near = F.flatten(F.transform(bands, lambda b: F.transform(F.sequence(F.lit(0), parts(b) - 1), lambda p: code(b, p))))
     own = code(F.col("band"), F.col("part"))
-    large = tiles.filter("band >= 0").select("block", "value", "tile", own.alias("own"), F.explode(near).alias("other"))
-    pairs = large.groupBy("block", "value", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")).agg(F.collect_list("tile").alias("tiles"))
-    return small.unionByName(pairs.select("tiles")).mapInPandas(_compare(radius), "a long, b long")
+    large = tiles.filter("band >= 0").select(*keys, "tile", own.alias("own"), F.explode(near).alias("other"))
+    pairs = large.groupBy(*keys, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")).agg(F.collect_list("tile").alias("tiles"))
+    return small.unionByName(pairs.select("tiles"))
+
+
+def near_links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """(a, b): links between distinct fingerprints (column fp, each once) whose components are those of all pairs
+    within the radius."""
+    blocks = radius + 1
+    cuts = [64 * i // blocks for i in range(blocks + 1)]
+    keys = [
+        F.struct(F.lit(i).alias("block"), F.shiftrightunsigned("fp", cuts[i]).bitwiseAND(F.lit((1 << (cuts[i + 1] - cuts[i])) - 1)).alias("value"))
+        for i in range(blocks)
+    ]
+    rows = prints.select("fp", F.bit_count("fp").alias("ones"), F.explode(F.array(*keys)).alias("k")).select("k.block", "k.value", "fp", "ones")
+    return tiled(rows, ["block", "value"], "fp", radius, tile).mapInPandas(_compare(radius), "a long, b long")
 
 
 def near_groups(rows: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
@@ -166,19 +176,6 @@ def hex_print(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """One document of each component stays: that of the least id (null ids last; of repeated rows, one)."""
-    tagged = materialise(docs.withColumns({"__row": F.monotonically_increasing_id(), "__fp": fingerprint(text_col)}), "simhash-docs")
-    rows = tagged.select(F.col(id_col).alias("id"), F.col("__fp").alias("fp"), F.col("__row").alias("row"))
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row")))
-    # one row a fingerprint first, so that a component's survivor is chosen among few rows
-    prints = materialise(rows.groupBy("fp").agg(first.alias("first")), "simhash-prints")
-    labels = connected_components(materialise(near_links(prints.select("fp"), radius), "simhash-links"))
-    met = prints.join(labels, prints.fp == labels.node, "left").select("first", F.coalesce("label", "fp").alias("label"))
-    kept = materialise(met.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row")), "simhash-kept")
-    return tagged.join(kept.hint("merge"), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
 def op4_simhash(spark, sf_dir):
     docs = documents(spark, sf_dir)
     rows = materialise(docs.select(F.col("doc_id").alias("id"), fingerprint("text").alias("fp")), "simhash-rows")

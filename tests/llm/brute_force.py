@@ -17,3 +17,25 @@ def brute_simhash(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 3]).encode(), 42) for i in range(max(1, len(words) - 2))] if words else []
     return sum((sum(h >> b & 1 for h in hashes) * 2 > len(hashes)) << b for b in range(64))
+
+
+def near_brute(texts: dict) -> set:
+    """The ids that stay: the least of each component of pairs with a similarity of 0.8 or more."""
+    sets = {}
+    for k, t in texts.items():
+        w = (t or "").encode().lower().split()
+        sets[k] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    ids, lead = sorted(sets), {k: k for k in sets}
+
+    def top(k):
+        while lead[k] != k:
+            k = lead[k]
+        return k
+
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            x, y = sets[a], sets[b]
+            if 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)) and 5 * len(x & y) >= 4 * len(x | y):
+                lo, hi = sorted((top(a), top(b)))
+                lead[hi] = lo
+    return {k for k in ids if top(k) == k}

@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from brute_force import PLAIN, brute_simhash, plain_ok
-from orrery.llm import byte_bpe, exact_dedup, license_scan, line_dedup, mixing, pii, quality, simhash, url_filter, warc
+from orrery.llm import byte_bpe, exact_dedup, license_scan, line_dedup, mixing, near_copies, pii, quality, simhash, url_filter, warc
 from orrery.llm.common import new_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, row string, kept string"
@@ -134,10 +134,10 @@ def test_simhash(docs, none, spark):
         assert simhash.simhash(r[1]) == brute_simhash(r[1])
     rows = docs.select("doc_id", "text").withColumn("fp", simhash.fingerprint("text")).collect()
     assert all(r.fp % (1 << 64) == brute_simhash(r.text) for r in rows)
-    kept = [r.doc_id for r in simhash.drop_near_copies(docs).collect()]
+    kept = [r.doc_id for r in near_copies.drop_near_copies(docs).collect()]
     assert len(kept) == len(set(kept)) and 2 not in kept and None not in kept and 3 in kept and 4 not in kept
-    assert simhash.drop_near_copies(docs).columns == docs.columns
-    assert simhash.drop_near_copies(none).count() == 0
+    assert near_copies.drop_near_copies(docs).columns == docs.columns
+    assert near_copies.drop_near_copies(none).count() == 0
 
 
 @pytest.mark.parametrize("tile", [8, 4096])
@@ -353,3 +353,37 @@ def test_mix_of_null_ids_does_not_follow_partitions(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     taken = lambda df: sorted((r.text, r.n_chars) for r in mixing.mix(df).collect())
     assert taken(docs.coalesce(1)) == taken(docs.repartition(7))
+
+
+def test_quality_labels_lines_of_mixed_documents(spark):
+    """Held-out documents that mix menus, shouting and prose: the line labels, and shares strictly between 0 and 1."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdeghilmnorstu") for _ in range(rng.randrange(2, 9)))
+    prose = lambda: " ".join(word() for _ in range(rng.randrange(9, 30))).capitalize() + "."
+    menu = lambda: " | ".join(word() for _ in range(rng.randrange(6, 20)))
+    shout = lambda: " ".join(word().upper() + "!!" for _ in range(rng.randrange(6, 20)))
+    made = lambda n, junk: [(prose(), 1) if rng.random() >= junk else (rng.choice([menu, shout])(), 0) for _ in range(n)]
+    text = lambda lines: "\n".join(t for t, _ in lines)
+    fitted = [(i, made(12, 0.03 if i % 2 else 0.8), i % 2) for i in range(300)]
+    docs = spark.createDataFrame([(i, text(lines)) for i, lines, _ in fitted], "doc_id long, text string")
+    model = quality.fit(docs, spark.createDataFrame([(i, y) for i, _, y in fitted], "doc_id long, quality int"))
+    assert model[1][0, 1] - model[1][0, 0] > -8 and abs(model[1]).max() > 0.1
+    hits = lines_seen = 0
+    mixed = []
+    for i in range(100):
+        lines = [*made(6, 0.0), *made(8, 1.0), *made(6, 0.0)]
+        stats, _, features, words = quality.measure([text(lines)])
+        found = quality.viterbi(features @ model[0], model[1])
+        hits, lines_seen = hits + sum(int(a == b) for a, (_, b) in zip(found, lines)), lines_seen + len(lines)
+        mixed.append((i, text(lines)))
+    assert hits >= 0.9 * lines_seen
+    shares = [r.quality.content_share for r in quality.label_quality(spark.createDataFrame(mixed, "doc_id long, text string"), model).collect()]
+    assert all(0 < s < 1 for s in shares)
+
+
+def test_quality_fit_of_string_ids_and_repeated_ids(spark):
+    rows = [(f"k{i % 40}", "A plain line of words that goes on for a while.\n" * 3 if i % 2 else "menu | of | words | here\n" * 3) for i in range(40)]
+    docs = spark.createDataFrame([*rows, ("k1", "other text"), ("k1", None)], "doc_id string, text string")
+    labels = spark.createDataFrame([(f"k{i}", i % 2) for i in range(40)], "doc_id string, quality int")
+    a, b = (quality.fit(d, labels) for d in (docs, docs.repartition(5)))
+    assert np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1])

@@ -6,28 +6,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-
-
-def brute(texts: dict) -> set:
-    """The ids that stay: the least of each component of pairs with a similarity of 0.8 or more."""
-    sets = {}
-    for k, t in texts.items():
-        w = (t or "").encode().lower().split()
-        sets[k] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-    ids, lead = sorted(sets), {k: k for k in sets}
-
-    def top(k):
-        while lead[k] != k:
-            k = lead[k]
-        return k
-
-    for i, a in enumerate(ids):
-        for b in ids[i + 1 :]:
-            x, y = sets[a], sets[b]
-            if 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)) and 5 * len(x & y) >= 4 * len(x | y):
-                lo, hi = sorted((top(a), top(b)))
-                lead[hi] = lo
-    return {k for k in ids if top(k) == k}
+from brute_force import near_brute
 
 
 def made() -> dict:
@@ -56,7 +35,7 @@ def test_stage_against_brute_force(spark, data, source):
     got = corpus_pipeline.near_copies(spark, df, data)
     assert got.columns == df.columns
     kept = [r.doc_id for r in got.collect()]
-    assert len(kept) == len(set(kept)) and set(kept) == brute(texts)
+    assert len(kept) == len(set(kept)) and set(kept) == near_brute(texts)
 
 
 def test_empty(spark, data):

@@ -9,8 +9,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from brute_force import PLAIN, brute_simhash, plain_ok
-from orrery.llm import byte_bpe, license_scan, queries, simhash
+from brute_force import PLAIN, brute_simhash, near_brute, plain_ok
+from orrery.llm import byte_bpe, license_scan, queries
 
 QUERIES, SQL = queries.queries(), queries.oracle_sql()
 
@@ -160,16 +160,6 @@ def test_pipeline_against_its_parts(spark, data):
     assert set(cleaned) == kept and all(r.n_chars == len(r.text) for r in second.collect())
     table = spark.createDataFrame(second.collect(), second.schema)
     third = {r.doc_id for r in corpus_pipeline.near_copies(spark, table, data).collect()}
-    prints = {k: simhash.simhash(t) for k, t in cleaned.items()}
-    left, groups = set(prints), 0
-    while left:
-        group, front = set(), {min(left)}
-        while front:
-            group |= front
-            front = {b for a in front for b in left - group if (prints[a] ^ prints[b]).bit_count() <= 3}
-        assert third & group == {min(group)}
-        left -= group
-        groups += 1
-    assert len(third) == groups
+    assert third == near_brute(cleaned)  # five words, a similarity of 0.8 or more
     final = corpus_pipeline.run(spark, data).collect()
     assert {r.doc_id for r in final} <= third and max(collections.Counter(r.doc_id for r in final).values()) <= 2
