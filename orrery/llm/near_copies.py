@@ -1,14 +1,21 @@
 """Near copies: five-word shingles with a Jaccard similarity of 0.8 or more, found by SimHash tiles and checked exactly.
 
-Documents of equal shingle sets collapse first. Candidates are then found in two rounds of tiled SimHash comparison.
-The first takes fingerprints within three bits, which finds most copies as spanning forests instead of pairs. Sets that
-are just 0.8 alike differ by about 10 of 64 bits, where blocks of equal bits no longer separate anything; so the second
-round tiles the documents that share one of their rarest shingles. Two sets of similarity s share an element among the first n - ceil(s n) + 1 of each in
-any common order (prefix filtering), so every such pair meets. Tiles are compared by exclusive-or and bit counts within
-``WIDE`` bits, tile pairs whose population counts differ by more are skipped, and so is what the first round joined. Each
-candidate's similarity is then computed exactly from the whole sets; a pair of similarity 0.8 lies beyond ``WIDE`` bits about
-once in a million. The order puts shingles last that many documents of a sample share, so that boilerplate seldom makes
-groups; the sample decides only how much is compared.
+Documents of equal shingle sets collapse first. Candidates are then found in three rounds, each of which leaves out what
+those before it joined; every candidate's similarity is computed exactly from the whole sets.
+
+1. SimHash tiles: 64-bit fingerprints within three bits, as spanning forests instead of pairs.
+2. Stars: documents that share one of their rarest shingles, each with the one in their midst, that is, whose fingerprint
+   is nearest to the majority of theirs. Two sets of similarity s share an element among the first n - ceil(s n) + 1 of
+   each in any common order (prefix filtering), so every such pair meets. Thousands of copies of one text are mostly
+   joined here, to that text, without their pairs.
+3. SimHash tiles again, of the groups of round 2 that are not one component: sets that are just 0.8 alike differ by about
+   19 of 128 bits, where blocks of equal bits no longer separate anything, so tiles of documents that meet are compared
+   by exclusive-or and bit counts within ``WIDE`` of 128 bits; tile pairs whose population counts differ by more are skipped.
+   A pair of similarity 0.8 lies beyond ``WIDE`` about once in a million, one that shares nothing else within once in 50,000.
+   Pairs never leave their tiles: a tile's sets are fetched once a row, and it gives a spanning forest of its links.
+
+The order puts shingles last that many documents of a sample share, so that boilerplate seldom makes groups; the sample
+decides only how much is compared.
 
 Nulls: a null text counts as empty; empty texts equal one another. Up to five words are one shingle. Null ids come last.
 Repeated rows are copies. Empty table: empty result. Other columns pass through.
@@ -20,19 +27,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery.llm import simhash
-from orrery.llm.common import beside, discard, materialise
+from orrery.llm.common import MOST_BESIDE, beside, discard, materialise
 from orrery.llm.components import connected_components
 
 SHINGLE = 5
 #: The least similarity, as a fraction of whole numbers: comparisons stay exact.
 PART, WHOLE = 4, 5
-#: Bits within which the second round takes candidates: five deviations beyond the mean of pairs of similarity 0.8.
-WIDE = 24
-TILE = 2048
+#: Of 128 bits, those within which the last round takes candidates: five deviations beyond the mean at similarity 0.8.
+WIDE = 40
+TILE = 512
 SAMPLE = 20_000
 #: A shingle in this many sampled documents goes last; of these at most MOST are broadcast (8 bytes each).
 COMMON, MOST = 4, 1 << 20
@@ -63,10 +71,17 @@ def shingle_set(text_col: str) -> Column:
     return run(text_col)
 
 
+def _again(h: np.ndarray) -> np.ndarray:
+    """Other hashes of the same elements: multiply, fold and multiply."""
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
 def marks(text_col: str, common) -> Column:
-    """A digest of the set, its size and fingerprint, and its elements up to the prefix's length, common ones last."""
+    """A digest of the set, its size, two fingerprints, and its elements up to the prefix's length, common ones last."""
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
 
-    @F.pandas_udf("digest string, n int, fp long, first array<long>")
+    @F.pandas_udf("digest string, n long, fp long, fp2 long, first array<long>")
     def run(texts: pd.Series) -> pd.DataFrame:
         import xxhash
 
@@ -75,9 +90,9 @@ def marks(text_col: str, common) -> Column:
             s = shingles(t)
             often = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s if len(late) else np.zeros(len(s), dtype=bool)
             take = len(s) - (PART * len(s) + WHOLE - 1) // WHOLE + 1 if len(s) else 0
-            fp = simhash.majority(s) if len(s) else 0
-            out.append((xxhash.xxh3_128_hexdigest(s.tobytes()), len(s), fp - (1 << 64) if fp >> 63 else fp, np.concatenate([s[~often], s[often]])[:take].view("<i8")))
-        return pd.DataFrame(out, columns=["digest", "n", "fp", "first"]).astype({"n": "int32", "fp": "int64"})
+            prints = [signed(simhash.majority(h)) for h in (s, _again(s))] if len(s) else [0, 0]
+            out.append((xxhash.xxh3_128_hexdigest(s.tobytes()), len(s), *prints, np.concatenate([s[~often], s[often]])[:take].view("<i8")))
+        return pd.DataFrame(out, columns=["digest", "n", "fp", "fp2", "first"]).astype({"n": "int64", "fp": "int64", "fp2": "int64"})
 
     return run(text_col)
 
@@ -89,53 +104,145 @@ def common_shingles(texts: DataFrame, text_col: str, n_docs: int) -> np.ndarray:
     return np.sort(np.array([r.h for r in often.select("h").toLocalIterator()], dtype="<i8").view("<u8"))
 
 
+def _sets(rows: DataFrame, tagged: DataFrame, text_col: str) -> DataFrame:
+    """(row, whole) of a written table of rows: only their texts are hashed again."""
+    wanted = rows.withColumnRenamed("row", "__row")
+    texts = tagged.select("__row", text_col).join(F.broadcast(wanted) if rows.count() <= MOST_BESIDE else wanted.hint("merge"), "__row", "left_semi")
+    return materialise(texts.select(F.col("__row").alias("row"), shingle_set(text_col).alias("whole")), "near-sets")
+
+
 def _alike(pairs: DataFrame, tagged: DataFrame, text_col: str) -> DataFrame:
     """Of a written table of candidate pairs (a, b) those whose whole sets are alike enough."""
-    rows = materialise(pairs.select(F.explode(F.array("a", "b")).alias("__row")).distinct(), "near-rows")
-    # only texts of candidates are hashed again
-    texts = tagged.select("__row", text_col).join(beside(rows), "__row", "left_semi")
-    sets = materialise(texts.select(F.col("__row").alias("row"), shingle_set(text_col).alias("whole")), "near-sets")
+    sets = _sets(materialise(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "near-rows"), tagged, text_col)
     side = lambda c: sets.select(F.col("row").alias(c), F.col("whole").alias(f"s{c}"))
     met = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b")
     both = met.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("o"))
     links = materialise(both.filter(WHOLE * F.col("o") >= PART * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b"), "near-links")
-    discard(rows, sets)
+    discard(sets)
     return links
 
 
-def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of rows in a tile, or in two, that lie within WIDE bits, have sizes that allow it and are not joined yet."""
-    for batch in batches:
-        found = [np.empty((0, 2), dtype=np.int64)]
-        for tiles in batch["tiles"]:
-            x, y = ({k: np.array([r[k] for r in t], dtype=np.int64) for k in ("row", "n", "fp", "label")} for t in (tiles[0], tiles[-1]))
-            step = max(1, (1 << 20) // len(y["fp"]))
-            for at in range(0, len(x["fp"]), step):
-                a = {k: v[at : at + step, None] for k, v in x.items()}
-                near = np.bitwise_count((a["fp"] ^ y["fp"]).view(np.uint64)) <= WIDE
-                near &= (a["label"] != y["label"]) & (WHOLE * np.minimum(a["n"], y["n"]) >= PART * np.maximum(a["n"], y["n"]))
-                i, j = np.nonzero(near)
-                pair = np.sort(np.stack([x["row"][at + i], y["row"][j]], axis=1), axis=1)
-                found.append(np.unique(pair, axis=0))
-        yield pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
-
-
-def near_links(rows: DataFrame, tagged: DataFrame, text_col: str) -> DataFrame:
-    """(a, b): links of a written table (row, n, fp, first), a row a distinct set, whose components are those of all
-    pairs alike enough."""
+EARLIER = ("e0", "e1", "e2", "e3")
+FIELDS = ("row", "n", "fp", "fp2", "label", *EARLIER)
+
+
+def _pairs(midst: bool):
+    """Pairs of rows in a tile, or in two, that lie within WIDE bits, have sizes that allow it and are not joined yet: those
+    with the row in the midst of a tile, as rows (a, b), or all of them, as a row (rows, pairs) a tile."""
+    def near(a: dict, b: dict) -> np.ndarray:
+        bits = np.bitwise_count((a["fp"] ^ b["fp"]).view(np.uint64)) + np.bitwise_count((a["fp2"] ^ b["fp2"]).view(np.uint64))
+        return (bits <= WIDE) & (a["label"] != b["label"]) & (WHOLE * np.minimum(a["n"], b["n"]) >= PART * np.maximum(a["n"], b["n"]))
+
+    def centre(x: dict) -> int:
+        prints = np.stack([x["fp"], x["fp2"]], axis=1)
+        bits = np.unpackbits(prints.view(np.uint8), axis=1)
+        return int((bits != (2 * bits.sum(axis=0, dtype=np.int64) > len(bits))).sum(axis=1).argmin())
+
+    def tiles_of(batch: pa.RecordBatch) -> Iterator[tuple[dict, dict, bool]]:
+        tiles = batch.column(0)
+        inner = tiles.values
+        outer, cuts = tiles.offsets.to_numpy(), inner.offsets.to_numpy()
+        columns = {k: inner.values.field(k).to_numpy() for k in FIELDS}
+        for first, end in zip(outer[:-1].tolist(), outer[1:].tolist()):
+            x, y = ({k: v[cuts[j] : cuts[j + 1]] for k, v in columns.items()} for j in (first, end - 1))
+            yield x, y, first == end - 1
+
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y, _ in tiles_of(batch):
+                at = centre(x)
+                j = np.flatnonzero(near({k: v[at] for k, v in x.items()}, y))
+                if len(j):
+                    p, q = np.full(len(j), x["row"][at]), y["row"][j]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], names=["a", "b"])
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y, alone in tiles_of(batch):
+                i, j = np.nonzero(near({k: v[:, None] for k, v in x.items()}, y))
+                if alone:
+                    i, j = i[i < j], j[i < j]
+                for k in EARLIER:  # a pair that shares an earlier shingle is compared where it meets in that one
+                    for m in EARLIER:
+                        apart = (x[k][i] != y[m][j]) | (x[k][i] == -1)
+                        i, j = i[apart], j[apart]
+                if len(i):
+                    rows, at = np.unique(np.stack([x["row"][i], y["row"][j]], axis=1), return_inverse=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([at.ravel().astype(np.int32)])], names=["rows", "pairs"])
+
+    return stars if midst else hits
+
+
+def _forest(sets: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
+    """Of a tile's pairs of rows, links that join all that are alike enough."""
+    whole, links = {r: np.sort(w) for r, w in zip(sets["row"], sets["whole"])}, []
+    rows, pairs = hits["rows"].iloc[0], hits["pairs"].iloc[0].reshape(-1, 2)
+    lead = list(range(len(rows)))
+
+    def top(k: int) -> int:
+        while lead[k] != k:
+            lead[k] = k = lead[lead[k]]
+        return k
+
+    for i, j in pairs.tolist():
+        p, q = top(i), top(j)
+        if p != q:
+            a, b = whole[rows[i]], whole[rows[j]]
+            o = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+            if WHOLE * o >= PART * (len(a) + len(b) - o):
+                lead[p] = q
+                links.append((rows[i], rows[j]))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def _joined(links: list[DataFrame], rows: DataFrame, tag: str) -> DataFrame:
+    """The rows with the label of their component, their own number where they have no link."""
+    found = links[0]
+    for more in links[1:]:
+        found = found.unionByName(more)
+    labels = connected_components(found).withColumnRenamed("node", "row")
+    return materialise(rows.join(labels.hint("merge"), "row", "left").select(*rows.columns, F.coalesce("label", "row").alias("label")), tag)
+
+
+def _meetings(named: DataFrame, tag: str) -> DataFrame:
+    """(h, item, ones): rows by the shingles they meet in, of the groups that are not one component yet."""
+    groups = named.select(F.explode("first").alias("h"), "label").groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    mixed = materialise(groups.filter("lo <> hi").select("h"), "near-mixed")
+    flat = named.select("*", F.posexplode("first").alias("at", "h"))
+    earlier = [F.when(F.col("at") > k, F.get("first", F.lit(k))).otherwise(-1).alias(name) for k, name in enumerate(EARLIER)]
+    flat = flat.select("h", F.struct("row", "n", "fp", "fp2", "label", *earlier).alias("item"))
+    met = materialise(flat.join(mixed.hint("merge"), "h").withColumn("ones", F.bit_count("item.fp") + F.bit_count("item.fp2")), tag)
+    discard(mixed)
+    return met
+
+
+def near_links(rows: DataFrame, tagged: DataFrame, text_col: str) -> list[DataFrame]:
+    """Tables (a, b) of links of a written table (row, n, fp, fp2, first), a row a distinct set; their components are
+    those of all pairs alike enough."""
     prints = materialise(rows.groupBy("fp").agg(F.min("row").alias("least")), "near-prints")
     close = materialise(simhash.near_links(prints.select("fp"), simhash.RADIUS), "near-close")
     of = lambda c: prints.select(F.col("fp").alias(c), F.col("least").alias(f"row_{c}"))
     pairs = close.join(of("a").hint("merge"), "a").join(of("b").hint("merge"), "b").select(F.col("row_a").alias("a"), F.col("row_b").alias("b"))
     equal = rows.join(prints.hint("merge"), "fp").filter("row <> least").select(F.col("least").alias("a"), F.col("row").alias("b"))
-    links = _alike(materialise(pairs.unionByName(equal), "near-pairs"), tagged, text_col)
-    labels = connected_components(links).withColumnRenamed("node", "row")
-    named = materialise(rows.join(labels.hint("merge"), "row", "left").select("row", "n", "fp", "first", F.coalesce("label", "row").alias("label")), "near-labelled")
-    shared = named.select(F.explode("first").alias("h"), "label").groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("h")
-    met = named.select(F.explode("first").alias("h"), F.struct("row", "n", "fp", "label").alias("item")).join(materialise(shared, "near-shared").hint("merge"), "h")
-    met = materialise(met.withColumn("ones", F.bit_count("item.fp")), "near-meetings")
-    wider = simhash.tiled(met, ["h"], "item", WIDE, TILE).mapInPandas(_candidates, "a long, b long").distinct()
-    return links.unionByName(_alike(materialise(wider, "near-wider"), tagged, text_col))
+    links = [_alike(materialise(pairs.unionByName(equal), "near-pairs"), tagged, text_col)]
+
+    named = _joined(links, rows, "near-labelled")
+    met = _meetings(named, "near-meetings")
+    stars = simhash.tiled(met, ["h"], "item", WIDE, TILE).mapInArrow(_pairs(True), "a long, b long").distinct()
+    links.append(_alike(materialise(stars, "near-midst"), tagged, text_col))
+    discard(named, met)
+
+    named = _joined(links, rows, "near-labelled")
+    met = _meetings(named, "near-meetings")
+    hits = simhash.tiled(met, ["h"], "item", WIDE, TILE).mapInArrow(_pairs(False), "rows array<long>, pairs array<int>")
+    hits = materialise(hits.withColumn("tile", F.monotonically_increasing_id()), "near-hits")
+    held = hits.select(F.col("tile").alias("own"), F.explode("rows").alias("row"))
+    sets = _sets(materialise(held.select("row").distinct(), "near-rows"), tagged, text_col)
+    filled = held.join(sets.hint("merge"), "row")
+    found = filled.groupBy("own").cogroup(hits.groupBy("tile")).applyInPandas(_forest, "a long, b long")
+    links.append(materialise(found, "near-links"))
+    discard(named, met, hits, sets)
+    return links
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,9 +253,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     marked = materialise(marked, "near-marks")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))).alias("first")
     heads = materialise(marked.groupBy("digest").agg(first).select("first", F.col("first.row").alias("row")), "near-heads")
-    rows = materialise(marked.select("row", "n", "fp", "first").join(heads.select("row").hint("merge"), "row", "left_semi"), "near-sets")
-    labels = connected_components(materialise(near_links(rows, tagged, text_col), "near-all-links"))
-    met = heads.join(labels.withColumnRenamed("node", "row").hint("merge"), "row", "left").select("first", F.coalesce("label", "row").alias("label"))
+    rows = materialise(marked.select("row", "n", "fp", "fp2", "first").join(heads.select("row").hint("merge"), "row", "left_semi"), "near-sets")
+    met = _joined(near_links(rows, tagged, text_col), heads, "near-named").select("first", "label")
     kept = met.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
     gone = materialise(marked.select("row").join(materialise(kept, "near-kept").hint("merge"), "row", "left_anti").select(F.col("row").alias("__row")), "near-gone")
     return tagged.join(beside(gone), "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
