@@ -31,13 +31,13 @@ def robust(df: DataFrame, keys: list[str], x: str, where: Column | None = None)
     return centre.join(spread, keys)
 
 
-def wilson(k, n, z: float = Z95) -> tuple[Column, Column]:
-    """Bounds of a share; without any cases they are 0 and 1."""
+def wilson(k, n, z: float = Z95, empty: tuple[float | None, float | None] = (0.0, 1.0)) -> tuple[Column, Column]:
+    """Bounds of a share; without any cases they are those of ``empty`` (0 and 1, both 0, or nulls)."""
     k, n = col(k).cast("double"), col(n).cast("double")
     p, zz = k / n, z * z
     centre, half = (p + zz / (2 * n)) / (1 + zz / n), z * F.sqrt(p * (1 - p) / n + zz / (4 * n * n)) / (1 + zz / n)
     some = n > 0
-    return F.when(some, F.greatest(centre - half, F.lit(0.0))).otherwise(0.0), F.when(some, F.least(centre + half, F.lit(1.0))).otherwise(1.0)
+    return F.when(some, F.greatest(centre - half, F.lit(0.0))).otherwise(F.lit(empty[0])), F.when(some, F.least(centre + half, F.lit(1.0))).otherwise(F.lit(empty[1]))
 
 
 def rate(k, n) -> Column:

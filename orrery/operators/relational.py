@@ -36,9 +36,8 @@ def union_by_key(base: DataFrame, others: list[DataFrame], keys: list[str] | Non
 
 
 def first_per_key(df: DataFrame, keys: list, order: list, n: int = 1) -> DataFrame:
-    """The first n rows of each key."""
-    if not order:
-        return df.dropDuplicates(keys)
+    """The first n rows of each key; without an order, by all columns in turn."""
+    order = order or [c for c in df.columns if c not in keys] or keys
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= n).drop("__n")
 
@@ -62,8 +61,10 @@ def todo(wanted: DataFrame, done: DataFrame, keys: list[str], done_when: Column
 
 
 def lookup(df: DataFrame, side: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Left join to one row per key of side, taking only the named columns, so that no other name can collide."""
-    return df.join(side.select(*keys, *columns).dropDuplicates(keys), keys, "left")
+    """Left join to one row per key of side (of several, the least by the named columns in turn), taking only the named
+    columns, so that no other name can collide."""
+    one = side.groupBy(*keys).agg(F.min(F.struct(*columns)).alias("__one")).select(*keys, *[F.col(f"__one.{c}").alias(c) for c in columns])
+    return df.join(one, keys, "left")
 
 
 def fill_absent(expected: DataFrame, found: DataFrame, keys: list[str], column: str, default: str) -> DataFrame:

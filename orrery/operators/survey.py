@@ -102,9 +102,10 @@ def coverage_of_intervals(df: DataFrame, quantities: dict[str, tuple[Column, Col
 
 
 def contrast(df: DataFrame, short: Column, hit: Column) -> DataFrame:
-    """One row: rates of a condition in two groups, and the chance of none among the first at the second's rate."""
+    """One row: rates of a condition in two groups, and the chance of none among the first at the second's rate, with its
+    logarithm, as the chance itself underflows for large groups."""
     m = df.agg(count_where(short).alias("n1"), count_where(short & hit).alias("k1"), count_where(~short).alias("n2"), count_where(~short & hit).alias("k2"))
-    return m.select("*", F.try_divide("k1", "n1").alias("rate1"), F.try_divide("k2", "n2").alias("rate2"), F.pow(1 - F.try_divide("k2", "n2"), "n1").alias("p_none"))
+    return m.select("*", F.try_divide("k1", "n1").alias("rate1"), F.try_divide("k2", "n2").alias("rate2"), F.pow(1 - F.try_divide("k2", "n2"), "n1").alias("p_none"), (F.col("n1") * F.log(1 - F.try_divide("k2", "n2"))).alias("ln_p_none"))
 
 
 def counts_where(df: DataFrame, **conditions: Column) -> DataFrame:
@@ -127,9 +128,15 @@ def sky_assessment(edges: DataFrame, key: str, floors=(3.0, 6.0, 10.0)) -> DataF
 
 def screening(scored: DataFrame, score: str, label: str, recalls=(0.95, 0.9, 0.8), steps: int = 96) -> DataFrame:
     """Per wanted recall: the highest threshold of a grid that still meets it, and the share of rows it would skip."""
-    grid = [round((i + 1) / (steps + 4), 6) for i in range(steps)]
-    m = scored.select(F.explode(F.array(*[F.struct(F.lit(t).alias("threshold"), (F.col(score) >= t).alias("above")) for t in grid])).alias("g"), F.col(label).alias("y"))
-    per = m.groupBy("g.threshold").agg(F.try_divide(count_where(F.col("g.above") & (F.col("y") == 1)), count_where(F.col("y") == 1)).alias("recall"), F.avg((~F.col("g.above")).cast("int")).alias("skipped"))
+    # rows are counted once by the thresholds that they reach; per threshold a sum over so many counts is left
+    grid = F.array(*[F.lit(round((i + 1) / (steps + 4), 6)) for i in range(steps)])
+    near = F.greatest(F.least(F.floor(F.col(score) * (steps + 4)), F.lit(steps)), F.lit(0)).cast("int")
+    reached = near + F.when(F.get(grid, near) <= F.col(score), 1).when((near > 0) & (F.get(grid, near - 1) > F.col(score)), -1).otherwise(0)
+    counts = scored.groupBy(reached.alias("reached")).agg(F.count(F.lit(1)).alias("n"), count_where(F.col(label) == 1).alias("hits"))
+    held = counts.agg(F.collect_list(F.struct("reached", "n", "hits")).alias("h"), F.sum("hits").alias("all_hits"), F.sum(F.when(F.col("reached").isNotNull(), F.col("n"))).alias("all"))
+    per = held.select("*", F.posexplode(grid).alias("i", "threshold"))
+    above = lambda c: F.aggregate(F.filter("h", lambda x: x["reached"] > F.col("i")), F.lit(0).cast("long"), lambda acc, x: acc + x[c])
+    per = per.select("threshold", F.try_divide(above("hits"), "all_hits").alias("recall"), F.try_divide(F.col("all") - above("n"), "all").alias("skipped"))
     return union_all([per.filter(F.col("recall") >= r).groupBy().agg(F.max("threshold").alias("threshold"), F.max_by("recall", "threshold").alias("recall"), F.max_by("skipped", "threshold").alias("skipped")).withColumn("wanted", F.lit(r)) for r in recalls])
 
 
@@ -159,7 +166,8 @@ def cross_validated(df: DataFrame, key: str, label: str, numbers: list[str], cat
 
 def bisected(df: DataFrame, x: str, thresholds: list[float]) -> DataFrame:
     """(threshold, n) of rows at or above each threshold."""
-    return df.select(F.explode(F.array(*[F.struct(F.lit(float(t)).alias("threshold"), (col(x) >= t).alias("above")) for t in thresholds])).alias("g")).groupBy("g.threshold").agg(count_where("g.above").alias("n"))
+    counts = df.agg(*[count_where(col(x) >= float(t)).alias(f"n{i}") for i, t in enumerate(thresholds)])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.col(f"n{i}").alias("n")) for i, t in enumerate(thresholds)])).alias("g")).select("g.*")
 
 
 def median_by(df: DataFrame, by: list[str], *xs: str) -> DataFrame:

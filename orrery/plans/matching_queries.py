@@ -105,9 +105,12 @@ def alias_explained(t):
     return matching.explain(p, "p_true", "p_found").select("event_id", F.col("hypothesis.rank").alias("rank"))
 
 
-@R.add(f"WITH p AS (SELECT * FROM ({PERIODS}) WHERE event_id < 60), x AS (SELECT a.event_id AS i, b.event_id AS j, a.p_found, b.p_true FROM p a JOIN p b ON a.event_id <> b.event_id), h AS (SELECT DISTINCT i, j FROM x, {HYPOTHESES} WHERE abs(abs(1 / (m * p_found) + s * x_j / 0.99726957) - 1 / p_true) <= 1 / 620.0) SELECT (SELECT count(*) FROM x) AS pairs, (SELECT count(*) FROM h) AS hits".replace("x_j", "h.j").replace("h(rank, m, j, s)", "h(rank, m, j, s)").replace("SELECT DISTINCT i, j FROM x", "SELECT DISTINCT x.i AS i, x.j AS j FROM x"))
+@R.add(f"""WITH p AS ({PERIODS}), f AS (SELECT p_found, count(*) AS nf FROM p GROUP BY 1), c AS (SELECT p_true, count(*) AS nt FROM p GROUP BY 1),
+e AS (SELECT DISTINCT p_found, p_true FROM f, c, {HYPOTHESES} WHERE abs(abs(1 / (m * p_found) + s * h.j / 0.99726957) - 1 / p_true) <= 1 / 620.0)
+SELECT (SELECT count(*) * (count(*) - 1) FROM p)::BIGINT AS pairs, ((SELECT sum(nf * nt) FROM e JOIN f USING (p_found) JOIN c USING (p_true)) - (SELECT count(*) FROM p JOIN e USING (p_found, p_true)))::BIGINT AS hits""")
 def chance_rate(t):
-    p = t.events.filter("event_id < 60").select("event_id", (0.3 + (F.col("event_id") % 89) / 40.0).alias("p_true"), (0.25 + (F.col("event_id") % 97) / 35.0).alias("p_found"))
+    """How often another object's period is explained by chance, over all pairs of events."""
+    p = t.events.select("event_id", (0.3 + (F.col("event_id") % 89) / 40.0).alias("p_true"), (0.25 + (F.col("event_id") % 97) / 35.0).alias("p_found"))
     return matching.chance_pairs(p, "event_id", "p_true", "p_found")
 
 

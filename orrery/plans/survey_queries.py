@@ -124,10 +124,10 @@ def interval_coverage(t):
     return survey.coverage_of_intervals(t.lineitem, {"price": (c("l_extendedprice"), 300 * c("l_quantity"), 1000 * c("l_quantity")), "tax": (c("l_tax"), c("l_discount"), F.lit(0.04))})
 
 
-@R.add("""WITH m AS (SELECT count(*) FILTER (l_quantity <= 5) AS n1, count(*) FILTER (l_quantity <= 5 AND l_returnflag = 'R') AS k1, count(*) FILTER (l_quantity > 5) AS n2, count(*) FILTER (l_quantity > 5 AND l_returnflag = 'R') AS k2 FROM lineitem WHERE l_orderkey <= 60)
-SELECT *, k1::DOUBLE / n1 AS rate1, k2::DOUBLE / n2 AS rate2, pow(1 - k2::DOUBLE / n2, n1) AS p_none FROM m""", ("rate1", "rate2", "p_none"))
+@R.add("""WITH m AS (SELECT count(*) FILTER (l_quantity <= 5) AS n1, count(*) FILTER (l_quantity <= 5 AND l_returnflag = 'R') AS k1, count(*) FILTER (l_quantity > 5) AS n2, count(*) FILTER (l_quantity > 5 AND l_returnflag = 'R') AS k2 FROM lineitem)
+SELECT *, k1::DOUBLE / n1 AS rate1, k2::DOUBLE / n2 AS rate2, pow(1 - k2::DOUBLE / n2, n1) AS p_none, n1 * ln(1 - k2::DOUBLE / n2) AS ln_p_none FROM m""", ("rate1", "rate2", "p_none", "ln_p_none"))
 def group_contrast(t):
-    return survey.contrast(t.lineitem.filter("l_orderkey <= 60"), F.col("l_quantity") <= 5, F.col("l_returnflag") == "R")
+    return survey.contrast(t.lineitem, F.col("l_quantity") <= 5, F.col("l_returnflag") == "R")
 
 
 @R.add("""WITH c AS (SELECT n_nationkey AS k, 24 AS n FROM nation WHERE n_nationkey <= 24), x AS (SELECT k, n, unnest(range(0, 25)) AS i FROM c), t AS (SELECT k, n, i, (factorial(n) / (factorial(i::INT) * factorial((n - i)::INT)))::DOUBLE * pow(0.3, i) * pow(0.7, n - i) AS p FROM x WHERE i >= k)
@@ -161,18 +161,18 @@ def grouping_counts(t):
     return rel.grouping_counts(t.orders, [["o_orderstatus"], ["o_orderpriority"], ["o_orderstatus", "o_orderpriority"]])
 
 
-@R.add("""WITH b AS (SELECT o_orderkey, o_custkey, 0 AS p FROM orders WHERE o_orderkey % 3 = 0), x AS (SELECT o_orderkey, -o_custkey AS o_custkey, 1 AS p FROM orders WHERE o_orderkey % 2 = 0), u AS (SELECT * FROM b UNION ALL SELECT * FROM x) SELECT o_orderkey, arg_min(o_custkey, p) AS o_custkey FROM u GROUP BY 1""")
+@R.add("""WITH b AS (SELECT o_orderkey, o_custkey, 0 AS p FROM orders WHERE o_orderkey % 3 <> 1), x AS (SELECT o_orderkey, -o_custkey AS o_custkey, 1 AS p FROM orders WHERE o_orderkey % 3 <> 0), u AS (SELECT * FROM b UNION ALL SELECT * FROM x) SELECT o_orderkey, arg_min(o_custkey, p) AS o_custkey FROM u GROUP BY 1""")
 def union_by_key(t):
-    """The base wins; other shards only add keys."""
+    """The base wins; other shards only add keys. Both together hold all orders, a third of them twice."""
     o = t.orders.select("o_orderkey", "o_custkey")
-    return rel.union_by_key(o.filter("o_orderkey % 3 = 0"), [o.filter("o_orderkey % 2 = 0").withColumn("o_custkey", -F.col("o_custkey"))], ["o_orderkey"])
+    return rel.union_by_key(o.filter("o_orderkey % 3 <> 1"), [o.filter("o_orderkey % 3 <> 0").withColumn("o_custkey", -F.col("o_custkey"))], ["o_orderkey"])
 
 
-@R.add("""WITH b AS (SELECT DISTINCT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0), x AS (SELECT DISTINCT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0) SELECT * FROM b UNION SELECT * FROM x""")
+@R.add("""WITH b AS (SELECT DISTINCT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 1), x AS (SELECT DISTINCT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 <> 0) SELECT * FROM b UNION SELECT * FROM x""")
 def union_by_composite_key(t):
     o = t.orders.select("o_custkey", "o_orderstatus")
-    cut = lambda m: t.orders.filter(f"o_orderkey % {m} = 0").select("o_custkey", "o_orderstatus").distinct()
-    return rel.union_by_key(cut(3), [cut(2)], o.columns)
+    cut = lambda m: t.orders.filter(f"o_orderkey % 3 <> {m}").select("o_custkey", "o_orderstatus").distinct()
+    return rel.union_by_key(cut(1), [cut(0)], o.columns)
 
 
 @R.add("SELECT DISTINCT o_custkey, o_orderstatus FROM orders")
