@@ -12,7 +12,8 @@ those before it joined; every candidate's similarity is computed exactly from th
    19 of 128 bits, where blocks of equal bits no longer separate anything, so tiles of documents that meet are compared
    by exclusive-or and bit counts within ``WIDE`` of 128 bits; tile pairs whose population counts differ by more are skipped.
    A pair of similarity 0.8 lies beyond ``WIDE`` about once in a million, one that shares nothing else within once in 50,000.
-   Pairs never leave their tiles: a tile's sets are fetched once a row, and it gives a spanning forest of its links.
+   Tiles give out their pairs while these are at most ``SPARSE`` a row, so their number grows with the rows. Those of
+   denser tiles stay there: such a tile's sets are fetched once a row, and it gives a spanning forest of its links.
 
 The order puts shingles last that many documents of a sample share, so that boilerplate seldom makes groups; the sample
 decides only how much is compared.
@@ -41,6 +42,10 @@ PART, WHOLE = 4, 5
 #: Of 128 bits, those within which the last round takes candidates: five deviations beyond the mean at similarity 0.8.
 WIDE = 40
 TILE = 512
+#: Tiles of so few rows are compared many at a time.
+FEW = 8
+#: A tile with at most so many pairs a row gives them out; the others' stay together for one forest a tile.
+SPARSE = 4
 SAMPLE = 20_000
 #: A shingle in this many sampled documents goes last; of these at most MOST are broadcast (8 bytes each).
 COMMON, MOST = 4, 1 << 20
@@ -133,39 +138,75 @@ def _pairs(midst: bool):
         bits = np.bitwise_count((a["fp"] ^ b["fp"]).view(np.uint64)) + np.bitwise_count((a["fp2"] ^ b["fp2"]).view(np.uint64))
         return (bits <= WIDE) & (a["label"] != b["label"]) & (WHOLE * np.minimum(a["n"], b["n"]) >= PART * np.maximum(a["n"], b["n"]))
 
-    def centre(x: dict) -> int:
-        prints = np.stack([x["fp"], x["fp2"]], axis=1)
-        bits = np.unpackbits(prints.view(np.uint8), axis=1)
-        return int((bits != (2 * bits.sum(axis=0, dtype=np.int64) > len(bits))).sum(axis=1).argmin())
+    def centre(x: dict) -> np.ndarray:
+        """The place, along the last axis, of the row whose fingerprint is nearest to the majority of its tile's."""
+        bits = np.unpackbits(np.stack([x["fp"], x["fp2"]], axis=-1).view(np.uint8), axis=-1)
+        most = 2 * bits.sum(axis=-2, dtype=np.int64, keepdims=True) > bits.shape[-2]
+        return (bits != most).sum(axis=-1).argmin(axis=-1)
 
-    def tiles_of(batch: pa.RecordBatch) -> Iterator[tuple[dict, dict, bool]]:
+    def fields(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
         tiles = batch.column(0)
         inner = tiles.values
         outer, cuts = tiles.offsets.to_numpy(), inner.offsets.to_numpy()
-        columns = {k: inner.values.field(k).to_numpy() for k in FIELDS}
-        for first, end in zip(outer[:-1].tolist(), outer[1:].tolist()):
-            x, y = ({k: v[cuts[j] : cuts[j + 1]] for k, v in columns.items()} for j in (first, end - 1))
-            yield x, y, first == end - 1
+        return outer[:-1], outer[1:] - 1, cuts, {k: inner.values.field(k).to_numpy() for k in FIELDS}
+
+    def few(first: np.ndarray, last: np.ndarray, cuts: np.ndarray, columns: dict) -> Iterator[dict]:
+        """The tiles of up to FEW rows that are compared with themselves, a table of (tiles, rows) for each size."""
+        n = cuts[first + 1] - cuts[first]
+        for k in range(2, FEW + 1):
+            at = cuts[first[(first == last) & (n == k)]]
+            if len(at):
+                yield {c: v[at[:, None] + np.arange(k)] for c, v in columns.items()}
+
+    def others(first: np.ndarray, last: np.ndarray, cuts: np.ndarray, columns: dict) -> Iterator[tuple[dict, dict, bool]]:
+        for f, e in zip(first.tolist(), last.tolist()):
+            if f != e or cuts[f + 1] - cuts[f] > FEW:
+                x, y = ({k: v[cuts[j] : cuts[j + 1]] for k, v in columns.items()} for j in (f, e))
+                yield x, y, f == e
+
+    def apart(x: dict, y: dict) -> np.ndarray:
+        """Not those that share an earlier shingle: they are compared where they meet in that one."""
+        ok = np.ones(x["row"].shape, dtype=bool)
+        for k in EARLIER:
+            for m in EARLIER:
+                ok &= (x[k] != y[m]) | (x[k] == -1)
+        return ok
+
+    def links(p: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], names=["a", "b"])
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x, y, _ in tiles_of(batch):
+            parts = fields(batch)
+            for x in few(*parts):
+                at = centre(x)
+                own = {k: np.take_along_axis(v, at[:, None], axis=1) for k, v in x.items()}
+                t, j = np.nonzero(near(own, x))
+                yield links(own["row"][t, 0], x["row"][t, j])
+            for x, y, _ in others(*parts):
                 at = centre(x)
                 j = np.flatnonzero(near({k: v[at] for k, v in x.items()}, y))
                 if len(j):
-                    p, q = np.full(len(j), x["row"][at]), y["row"][j]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], names=["a", "b"])
+                    yield links(np.full(len(j), x["row"][at]), y["row"][j])
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x, y, alone in tiles_of(batch):
+            parts = fields(batch)
+            for x in few(*parts):
+                i, j = np.triu_indices(x["row"].shape[1], 1)
+                a, b = ({k: v[:, at] for k, v in x.items()} for at in (i, j))
+                found = near(a, b) & apart(a, b)
+                rows, n = np.stack([a["row"][found], b["row"][found]], axis=1).ravel(), int(found.sum())
+                ends = pa.array(np.arange(0, 2 * n + 1, 2, dtype=np.int32))
+                pairs = pa.array(np.tile(np.array([0, 1], dtype=np.int32), n))
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(rows)), pa.ListArray.from_arrays(ends, pairs)], names=["rows", "pairs"])
+            for x, y, alone in others(*parts):
                 i, j = np.nonzero(near({k: v[:, None] for k, v in x.items()}, y))
                 if alone:
                     i, j = i[i < j], j[i < j]
-                for k in EARLIER:  # a pair that shares an earlier shingle is compared where it meets in that one
-                    for m in EARLIER:
-                        apart = (x[k][i] != y[m][j]) | (x[k][i] == -1)
-                        i, j = i[apart], j[apart]
+                if len(i):
+                    new = apart({k: v[i] for k, v in x.items()}, {k: v[j] for k, v in y.items()})
+                    i, j = i[new], j[new]
                 if len(i):
                     rows, at = np.unique(np.stack([x["row"][i], y["row"][j]], axis=1), return_inverse=True)
                     yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([at.ravel().astype(np.int32)])], names=["rows", "pairs"])
@@ -236,10 +277,16 @@ def near_links(rows: DataFrame, tagged: DataFrame, text_col: str) -> list[DataFr
     met = _meetings(named, "near-meetings")
     hits = simhash.tiled(met, ["h"], "item", WIDE, TILE).mapInArrow(_pairs(False), "rows array<long>, pairs array<int>")
     hits = materialise(hits.withColumn("tile", F.monotonically_increasing_id()), "near-hits")
-    held = hits.select(F.col("tile").alias("own"), F.explode("rows").alias("row"))
+    sparse = F.size("pairs") <= 2 * SPARSE * F.size("rows")
+    row = lambda k: F.get("rows", F.get("pairs", k))
+    ends = F.transform(F.sequence(F.lit(0), F.size("pairs") - 2, F.lit(2)), lambda k: F.struct(row(k).alias("p"), row(k + 1).alias("q")))
+    few = hits.filter(sparse).select(F.explode(ends).alias("e")).select(F.least("e.p", "e.q").alias("a"), F.greatest("e.p", "e.q").alias("b")).distinct()
+    links.append(_alike(materialise(few, "near-few"), tagged, text_col))
+    dense = hits.filter(~sparse)
+    held = dense.select(F.col("tile").alias("own"), F.explode("rows").alias("row"))
     sets = _sets(materialise(held.select("row").distinct(), "near-rows"), tagged, text_col)
     filled = held.join(sets.hint("merge"), "row")
-    found = filled.groupBy("own").cogroup(hits.groupBy("tile")).applyInPandas(_forest, "a long, b long")
+    found = filled.groupBy("own").cogroup(dense.groupBy("tile")).applyInPandas(_forest, "a long, b long")
     links.append(materialise(found, "near-links"))
     discard(named, met, hits, sets)
     return links
