@@ -127,7 +127,8 @@ def _alike(pairs: DataFrame, tagged: DataFrame, text_col: str) -> DataFrame:
     return links
 
 
-EARLIER = ("e0", "e1", "e2", "e3")
+#: The shingles of a row before the one it meets in, 31 bits of each, of its first eight.
+EARLIER = tuple(f"e{k}" for k in range(8))
 FIELDS = ("row", "n", "fp", "fp2", "label", *EARLIER)
 
 
@@ -165,7 +166,8 @@ def _pairs(midst: bool):
                 yield x, y, f == e
 
     def apart(x: dict, y: dict) -> np.ndarray:
-        """Not those that share an earlier shingle: they are compared where they meet in that one."""
+        """Not those that share an earlier shingle: they are compared where they meet in that one. (Different shingles of
+        equal 31 bits would lose the pair: one in 30 million pairs.)"""
         ok = np.ones(x["row"].shape, dtype=bool)
         for k in EARLIER:
             for m in EARLIER:
@@ -195,8 +197,10 @@ def _pairs(midst: bool):
             for x in few(*parts):
                 i, j = np.triu_indices(x["row"].shape[1], 1)
                 a, b = ({k: v[:, at] for k, v in x.items()} for at in (i, j))
-                found = near(a, b) & apart(a, b)
-                rows, n = np.stack([a["row"][found], b["row"][found]], axis=1).ravel(), int(found.sum())
+                found = near(a, b)
+                a, b = ({k: v[found] for k, v in side.items()} for side in (a, b))
+                new = apart(a, b)
+                rows, n = np.stack([a["row"][new], b["row"][new]], axis=1).ravel(), int(new.sum())
                 ends = pa.array(np.arange(0, 2 * n + 1, 2, dtype=np.int32))
                 pairs = pa.array(np.tile(np.array([0, 1], dtype=np.int32), n))
                 yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(rows)), pa.ListArray.from_arrays(ends, pairs)], names=["rows", "pairs"])
@@ -250,7 +254,7 @@ def _meetings(named: DataFrame, tag: str) -> DataFrame:
     groups = named.select(F.explode("first").alias("h"), "label").groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     mixed = materialise(groups.filter("lo <> hi").select("h"), "near-mixed")
     flat = named.select("*", F.posexplode("first").alias("at", "h"))
-    earlier = [F.when(F.col("at") > k, F.get("first", F.lit(k))).otherwise(-1).alias(name) for k, name in enumerate(EARLIER)]
+    earlier = [F.when(F.col("at") > k, F.get("first", F.lit(k)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).otherwise(-1).alias(name) for k, name in enumerate(EARLIER)]
     flat = flat.select("h", F.struct("row", "n", "fp", "fp2", "label", *earlier).alias("item"))
     met = materialise(flat.join(mixed.hint("merge"), "h").withColumn("ones", F.bit_count("item.fp") + F.bit_count("item.fp2")), tag)
     discard(mixed)
