@@ -129,7 +129,7 @@ def _alike(pairs: DataFrame, tagged: DataFrame, text_col: str) -> DataFrame:
 
 #: The shingles of a row before the one it meets in, 31 bits of each, of its first eight.
 EARLIER = tuple(f"e{k}" for k in range(8))
-FIELDS = ("row", "n", "fp", "fp2", "label", *EARLIER)
+FIELDS = ("row", "n", "at", "fp", "fp2", "label", *EARLIER)
 
 
 def _pairs(midst: bool):
@@ -166,9 +166,10 @@ def _pairs(midst: bool):
                 yield x, y, f == e
 
     def apart(x: dict, y: dict) -> np.ndarray:
-        """Not those that share an earlier shingle: they are compared where they meet in that one. (Different shingles of
-        equal 31 bits would lose the pair: one in 30 million pairs.)"""
-        ok = np.ones(x["row"].shape, dtype=bool)
+        """Pairs with enough elements left from here on, if they share none before; those that do are compared where they
+        meet first. (Different shingles of equal 31 bits would lose the pair: one in 30 million pairs.)"""
+        need = PART * (x["n"] + y["n"])
+        ok = ((PART + WHOLE) * (x["n"] - x["at"]) >= need) & ((PART + WHOLE) * (y["n"] - y["at"]) >= need)
         for k in EARLIER:
             for m in EARLIER:
                 ok &= (x[k] != y[m]) | (x[k] == -1)
@@ -255,7 +256,7 @@ def _meetings(named: DataFrame, tag: str) -> DataFrame:
     mixed = materialise(groups.filter("lo <> hi").select("h"), "near-mixed")
     flat = named.select("*", F.posexplode("first").alias("at", "h"))
     earlier = [F.when(F.col("at") > k, F.get("first", F.lit(k)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).otherwise(-1).alias(name) for k, name in enumerate(EARLIER)]
-    flat = flat.select("h", F.struct("row", "n", "fp", "fp2", "label", *earlier).alias("item"))
+    flat = flat.select("h", F.struct("row", "n", "at", "fp", "fp2", "label", *earlier).alias("item"))
     met = materialise(flat.join(mixed.hint("merge"), "h").withColumn("ones", F.bit_count("item.fp") + F.bit_count("item.fp2")), tag)
     discard(mixed)
     return met
