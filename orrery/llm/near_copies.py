@@ -241,13 +241,15 @@ def _forest(sets: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def _joined(links: list[DataFrame], rows: DataFrame, tag: str) -> DataFrame:
-    """The rows with the label of their component, their own number where they have no link."""
-    found = links[0]
-    for more in links[1:]:
-        found = found.unionByName(more)
-    labels = connected_components(found).withColumnRenamed("node", "row")
-    return materialise(rows.join(labels.hint("merge"), "row", "left").select(*rows.columns, F.coalesce("label", "row").alias("label")), tag)
+def _joined(links: DataFrame, named: DataFrame, tag: str) -> DataFrame:
+    """The labelled rows with the label of their new component. Links are those found since the labels were: they are
+    contracted to links between labels, each once, so that a round's components never repeat those before it."""
+    of = lambda c: named.select(F.col("row").alias(c), F.col("label").alias(f"label_{c}"))
+    between = links.join(of("a").hint("merge"), "a").join(of("b").hint("merge"), "b").filter("label_a <> label_b")
+    ends = between.select(F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b")).distinct()
+    labels = connected_components(ends).select("node", F.col("label").alias("least"))
+    met = named.join(labels.hint("merge"), named.label == labels.node, "left")
+    return materialise(met.select(*[c for c in named.columns if c != "label"], F.coalesce("least", "label").alias("label")), tag)
 
 
 def _meetings(named: DataFrame, tag: str) -> DataFrame:
@@ -262,23 +264,23 @@ def _meetings(named: DataFrame, tag: str) -> DataFrame:
     return met
 
 
-def near_links(rows: DataFrame, tagged: DataFrame, text_col: str) -> list[DataFrame]:
-    """Tables (a, b) of links of a written table (row, n, fp, fp2, first), a row a distinct set; their components are
-    those of all pairs alike enough."""
+def near_labels(rows: DataFrame, tagged: DataFrame, text_col: str) -> DataFrame:
+    """(row, label) of a written table (row, n, fp, fp2, first), a row a distinct set: the least row of the component
+    that all pairs alike enough make."""
     prints = materialise(rows.groupBy("fp").agg(F.min("row").alias("least")), "near-prints")
     close = materialise(simhash.near_links(prints.select("fp"), simhash.RADIUS), "near-close")
     of = lambda c: prints.select(F.col("fp").alias(c), F.col("least").alias(f"row_{c}"))
     pairs = close.join(of("a").hint("merge"), "a").join(of("b").hint("merge"), "b").select(F.col("row_a").alias("a"), F.col("row_b").alias("b"))
     equal = rows.join(prints.hint("merge"), "fp").filter("row <> least").select(F.col("least").alias("a"), F.col("row").alias("b"))
-    links = [_alike(materialise(pairs.unionByName(equal), "near-pairs"), tagged, text_col)]
+    links = _alike(materialise(pairs.unionByName(equal), "near-pairs"), tagged, text_col)
 
-    named = _joined(links, rows, "near-labelled")
+    named = _joined(links, rows.withColumn("label", F.col("row")), "near-labelled")
     met = _meetings(named, "near-meetings")
     stars = simhash.tiled(met, ["h"], "item", WIDE, TILE).mapInArrow(_pairs(True), "a long, b long").distinct()
-    links.append(_alike(materialise(stars, "near-midst"), tagged, text_col))
-    discard(named, met)
+    links = _alike(materialise(stars, "near-midst"), tagged, text_col)
+    before, named = named, _joined(links, named, "near-labelled")
+    discard(before, met)
 
-    named = _joined(links, rows, "near-labelled")
     met = _meetings(named, "near-meetings")
     hits = simhash.tiled(met, ["h"], "item", WIDE, TILE).mapInArrow(_pairs(False), "rows array<long>, pairs array<int>")
     hits = materialise(hits.withColumn("tile", F.monotonically_increasing_id()), "near-hits")
@@ -286,15 +288,16 @@ def near_links(rows: DataFrame, tagged: DataFrame, text_col: str) -> list[DataFr
     row = lambda k: F.get("rows", F.get("pairs", k))
     ends = F.transform(F.sequence(F.lit(0), F.size("pairs") - 2, F.lit(2)), lambda k: F.struct(row(k).alias("p"), row(k + 1).alias("q")))
     few = hits.filter(sparse).select(F.explode(ends).alias("e")).select(F.least("e.p", "e.q").alias("a"), F.greatest("e.p", "e.q").alias("b")).distinct()
-    links.append(_alike(materialise(few, "near-few"), tagged, text_col))
+    links = _alike(materialise(few, "near-few"), tagged, text_col)
     dense = hits.filter(~sparse)
     held = dense.select(F.col("tile").alias("own"), F.explode("rows").alias("row"))
     sets = _sets(materialise(held.select("row").distinct(), "near-rows"), tagged, text_col)
     filled = held.join(sets.hint("merge"), "row")
     found = filled.groupBy("own").cogroup(dense.groupBy("tile")).applyInPandas(_forest, "a long, b long")
-    links.append(materialise(found, "near-links"))
+    links = links.unionByName(materialise(found, "near-links"))
+    labels = _joined(links, named.select("row", "label"), "near-named")
     discard(named, met, hits, sets)
-    return links
+    return labels
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -306,7 +309,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("row").alias("row"))).alias("first")
     heads = materialise(marked.groupBy("digest").agg(first).select("first", F.col("first.row").alias("row")), "near-heads")
     rows = materialise(marked.select("row", "n", "fp", "fp2", "first").join(heads.select("row").hint("merge"), "row", "left_semi"), "near-sets")
-    met = _joined(near_links(rows, tagged, text_col), heads, "near-named").select("first", "label")
+    met = heads.join(near_labels(rows, tagged, text_col).hint("merge"), "row").select("first", "label")
     kept = met.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
     gone = materialise(marked.select("row").join(materialise(kept, "near-kept").hint("merge"), "row", "left_anti").select(F.col("row").alias("__row")), "near-gone")
     return tagged.join(beside(gone), "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
