@@ -172,6 +172,38 @@ def per_event(df: DataFrame, key: list[str], t="t", y="flux", least_in=2, least_
     return got.filter((F.col("n_in") >= least_in) & (F.col("n_out") >= least_out)).select(*key, "epoch", (F.col("base") - F.col("low")).alias("depth"), (F.col("sd") / F.sqrt("n_in")).alias("depth_err"), "n_in", "n_out")
 
 
+def event_floors(df: DataFrame, key: list[str], t="t", core=0.35, fine=0.05) -> DataFrame:
+    """(key, least_core, least_local): how many points an event needs, 60 % of those its windows can hold at the key's
+    cadence (the median of its steps below ``fine``, else of all), within 3 to 5 and 6 to 10; 5 and 10 without a cadence."""
+    w = Window.partitionBy(*key).orderBy(t)
+    steps = df.withColumn("__d", F.lead(t).over(w) - F.col(t))
+    per = steps.groupBy(*key).agg(F.coalesce(median_where("__d", F.col("__d") < fine), median("__d")).alias("cadence"), F.first("duration").alias("duration"))
+    floor = lambda width, lo, hi: F.when(F.col("cadence") > 0, F.least(F.greatest(F.rint(0.6 * width * F.col("duration") / F.col("cadence")), F.lit(float(lo))), F.lit(float(hi)))).otherwise(F.lit(float(hi))).cast("int")
+    return per.select(*key, floor(2 * core, 3, 5).alias("least_core"), floor(4, 6, 10).alias("least_local"))
+
+
+def event_depths(df: DataFrame, key: list[str], t="t", y="flux", core=0.35, least_sigma=5.0) -> DataFrame:
+    """(key, epoch): t_mid, depth, err, sigma and seen of each event that has enough points by ``event_floors``: the
+    median within ``core`` durations against that of its surroundings, one to three durations away.
+
+    A point near two events counts for both. err (from the surroundings' scaled MAD) and sigma are null without scatter,
+    and seen is then false. Null times or fluxes are ignored; an empty table gives no rows."""
+    df = df.filter(F.col(t).isNotNull() & F.col(y).isNotNull())
+    reach = lambda sign: (F.col(t) - F.col("t0") + sign * 3 * F.col("duration")) / F.col("period")
+    met = df.filter(F.floor(reach(1)) >= F.ceil(reach(-1))).withColumn("epoch", F.explode(F.sequence(F.ceil(reach(-1)), F.floor(reach(1)))))
+    met = met.withColumns({"t_mid": F.col("t0") + F.col("epoch") * F.col("period")}).withColumn("__x", F.abs(F.col(t) - F.col("t_mid")) / F.col("duration"))
+    inside, side = F.col("__x") < core, (F.col("__x") > 1) & (F.col("__x") < 3)
+    event = [*key, "epoch"]
+    got = met.groupBy(*event).agg(F.first("t_mid").alias("t_mid"), median_where(y, side).alias("base"), median_where(y, inside).alias("low"), count_where(inside).alias("n_core"), count_where(side).alias("n_local"))
+    got = got.join(event_floors(df, key, t, core), key).filter((F.col("n_core") >= F.col("least_core")) & (F.col("n_local") >= F.col("least_local")))
+    spread = met.filter(side).join(got.select(*event, "base"), event).groupBy(*event).agg((MAD_SCALE * median(F.abs(F.col(y) - F.col("base")))).alias("mad"))
+    depth = (F.col("base") - F.col("low")) / F.col("base")
+    err = F.when(F.col("mad") > 0, F.col("mad") * HALF_PI_ROOT / F.sqrt("n_core") / F.col("base"))
+    found = got.join(spread, event).select(*event, "t_mid", depth.alias("depth"), err.alias("err"))
+    sigma = F.when(F.col("err") > 0, F.col("depth") / F.col("err"))
+    return found.withColumn("sigma", sigma).withColumn("seen", F.coalesce(F.col("sigma") >= least_sigma, F.lit(False)))
+
+
 def pooled_events(events: DataFrame, key: list[str]) -> DataFrame:
     """Per key: median depth of the events; its error from their errors or their scatter, whichever is larger."""
     m = events.groupBy(*key).agg(median("depth").alias("pooled"), median("depth_err").alias("e"), F.stddev_samp("depth").alias("sd"), F.count(F.lit(1)).alias("n_events"))

@@ -27,6 +27,15 @@ def tsv_table(lines: DataFrame, value: str = "value") -> DataFrame:
     return rows.select(*[F.nullif(F.trim(F.get("c", F.lit(i))), F.lit("")).alias(n) for i, n in enumerate(names)])
 
 
+def tsv_answer(lines: DataFrame, value: str = "value") -> DataFrame | None:
+    """The table of a service's answer, or None where that is empty, an error stub ("Error=" in a line) or bare headers."""
+    body = lines.filter(~F.startswith(value, F.lit("#")) & (F.trim(value) != ""))
+    first = body.first()
+    if first is None or first[value].startswith("Content-Type") or not lines.filter(F.contains(value, F.lit("Error="))).isEmpty():
+        return None
+    return tsv_table(lines, value)
+
+
 def infer_numbers(df: DataFrame) -> DataFrame:
     """Make a string column numeric if every cell that isn't blank is a number: one aggregate pass for all columns."""
     texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]

@@ -227,6 +227,12 @@ def test_tsv(spark, tmp_path):
         text.tsv_table(spark.createDataFrame([("error",)], "value string"))
 
 
+def test_tsv_answer(spark):
+    answer = lambda *rows: text.tsv_answer(spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1))
+    assert answer("# only", "") is None and answer("#INFO Error=none found", "A\tB") is None and answer("Content-Type: text/plain") is None
+    assert sorted(map(tuple, answer("# x", "A\tB", "\tdeg", "-\t-", "1\t2", "3\t").collect())) == [("1", "2"), ("3", None)]
+
+
 def test_sources(spark, tmp_path):
     ids = text.id_list(spark.createDataFrame([("TIC 12345 and 678901, not 12",)], "value string"))
     assert {r.id for r in ids.collect()} == {12345, 678901}
@@ -264,3 +270,38 @@ def test_difference_image(spark, data):
 
     got = catalog.queries()["difference_images"](spark, data).collect()
     assert sum((r.peak_row, r.peak_col) == (2, 2) for r in got) >= 0.8 * len(got)
+
+
+def event_depths_brute(t, f, period, t0, dur):
+    """The events of one object, point by point."""
+    steps = np.diff(np.sort(t))
+    fine = steps[steps < 0.05]
+    step = np.median(fine if len(fine) else steps) if len(steps) else 0
+    least = (min(max(np.rint(0.7 * 0.6 * dur / step), 3), 5), min(max(np.rint(2.4 * dur / step), 6), 10)) if step > 0 else (5, 10)
+    out = {}
+    for e in range(-50, 51):
+        x = np.abs(t - t0 - e * period) / dur
+        core, side = f[x < 0.35], f[(x > 1) & (x < 3)]
+        if len(core) >= least[0] and len(side) >= least[1]:
+            base = np.median(side)
+            depth, mad = 1 - np.median(core) / base, 1.4826 * np.median(np.abs(side - base))
+            err = mad * np.sqrt(np.pi / 2 / len(core)) / base if mad > 0 else None
+            out[e] = (depth, err, bool(err) and depth / err >= 5)
+    return out
+
+
+def test_event_depths(spark):
+    rng, rows, want = np.random.default_rng(5), [], {}
+    for key, step, period, dur, noise in [(1, 0.02, 2.3, 0.2, 1e-3), (2, 0.03, 0.9, 0.12, 5e-3), (3, 0.2, 3.1, 1.4, 2e-3), (4, 0.02, 1.7, 0.15, 0.0), (5, 0.02, 5.0, 0.02, 1e-3)]:
+        t = np.sort(rng.choice(np.arange(0, 25, step), int(25 / step * 0.9), replace=False) + rng.uniform(0, step / 9, int(25 / step * 0.9)))
+        f = 1 + noise * rng.normal(size=len(t))
+        f[np.abs((t - 1.1 + period / 2) % period - period / 2) < dur / 2] -= 0.02
+        rows += [(key, float(a), float(b), period, 1.1, dur) for a, b in zip(t, f)]
+        want |= {(key, e): v for e, v in event_depths_brute(t, f, period, 1.1, dur).items()}
+    schema = "id long, t double, flux double, period double, t0 double, duration double"
+    df = spark.createDataFrame([*rows, (6, 0.0, 1.0, 1.0, 0.0, 0.1), (7, None, 1.0, 1.0, 0.0, 0.1), (8, 0.0, None, 1.0, 0.0, 0.1)], schema)
+    got = {(r.id, r.epoch): (r.depth, r.err, r.seen) for r in series.event_depths(df, ["id"]).collect()}
+    assert got.keys() == want.keys() and {k for k, _ in got} == {1, 2, 3, 4}
+    for k, (depth, err, seen) in want.items():
+        assert got[k][0] == pytest.approx(depth, abs=1e-12) and got[k][1] == (err if err is None else pytest.approx(err, rel=1e-9)) and got[k][2] == seen
+    assert series.event_depths(df.limit(0), ["id"]).collect() == []
