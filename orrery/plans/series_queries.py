@@ -110,6 +110,19 @@ FROM x WHERE x < 1.5 * duration GROUP BY k, epoch HAVING count(*) FILTER (x < du
 POOL = f"pl AS (SELECT k, count(*) AS n_events, {med('depth')} AS pooled, greatest({med('depth_err')} / sqrt(count(*)), stddev_samp(depth) / sqrt(count(*))) AS pooled_err FROM pe GROUP BY k)"
 
 
+@R.add(f"""WITH {SERIES}, w AS (SELECT k, t, flux, t0, period * 4 AS period, 1.5::DOUBLE AS duration FROM s), d AS (SELECT k, duration, lead(t) OVER (PARTITION BY k ORDER BY t) - t AS d FROM w), c AS (SELECT k, coalesce({med('d', 'd < 0.05')}, {med('d')}) AS cadence, any_value(duration) AS duration FROM d GROUP BY k),
+fl AS (SELECT k, CASE WHEN cadence > 0 THEN least(greatest(round_even(0.42 * duration / cadence, 0), 3), 5) ELSE 5 END AS least_core, CASE WHEN cadence > 0 THEN least(greatest(round_even(2.4 * duration / cadence, 0), 6), 10) ELSE 10 END AS least_local FROM c),
+m AS (SELECT *, unnest(generate_series(ceil((t - t0 - 3 * duration) / period)::BIGINT, floor((t - t0 + 3 * duration) / period)::BIGINT)) AS epoch FROM w), x AS (SELECT *, t0 + epoch * period AS t_mid, abs(t - (t0 + epoch * period)) / duration AS x FROM m),
+e AS (SELECT k, epoch, any_value(t_mid) AS t_mid, {med('flux', 'x > 1 AND x < 3')} AS base, {med('flux', 'x < 0.35')} AS low, count(*) FILTER (x < 0.35) AS n_core, count(*) FILTER (x > 1 AND x < 3) AS n_local FROM x GROUP BY k, epoch),
+g AS (SELECT e.* FROM e JOIN fl ON e.k = fl.k WHERE n_core >= least_core AND n_local >= least_local),
+sp AS (SELECT g.k, g.epoch, any_value(g.t_mid) AS t_mid, any_value((base - low) / base) AS depth, 1.4826 * {med('abs(flux - base)')} AS mad, any_value(n_core) AS n_core, any_value(base) AS base FROM g JOIN x ON g.k = x.k AND g.epoch = x.epoch WHERE x.x > 1 AND x.x < 3 GROUP BY g.k, g.epoch),
+er AS (SELECT *, CASE WHEN mad > 0 THEN mad * 1.2533141373155003 / sqrt(n_core) / base END AS err FROM sp)
+SELECT k, epoch, t_mid, depth, err, CASE WHEN err > 0 THEN depth / err END AS sigma, coalesce(depth / err >= 5 AND err > 0, false) AS seen FROM er""", ("t_mid", "depth", "err", "sigma"))
+def adaptive_event_depths(t):
+    """Events with enough points for their key's cadence; long ones, as the series are sparse."""
+    return series.event_depths(t.series.withColumns({"period": F.col("period") * 4, "duration": F.lit(1.5)}), K)
+
+
 @R.add(f"WITH {EVENTS} SELECT * FROM pe", ("depth", "depth_err"))
 def per_event_depths(t):
     return series.per_event(t.series, K, least_in=1, least_out=2)
