@@ -189,6 +189,7 @@ def sexagesimal(deg, hours: bool = False) -> Column:
 
 # -- periods ----------------------------------------------------------------------------------------------------------
 
+#: These ratios and labels, and the two "no period" strings below.
 RATIOS = [("1x", 1.0), ("2x", 2.0), ("0.5x", 0.5), ("3x", 3.0), ("1/3x", 1.0 / 3.0)]
 
 
