@@ -44,7 +44,7 @@ TRAILER = "<QQQQII8s"
 TRAILER_BYTES = struct.calcsize(TRAILER)
 BLOCK_IDS = 1 << 16
 SHARD_CHARS = 12_000_000
-MEMO = 500_000
+MEMO = 800_000
 NULL = 0xFFFFFFFF
 
 
@@ -138,28 +138,29 @@ def _encoder(held: dict):
     def clean(piece: str) -> bool:
         return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
 
-    def alone(piece: str) -> bytes:
-        found = bare.get(piece)
-        if found is None:
-            found = bare[piece] = whole(piece)
-        return found
+    def word(letters_: str, before: str) -> bytes:
+        """Of a pre-token of letters, after a space or not."""
+        written = letters_ if letters_.isascii() else "".join(map(letters.__getitem__, letters_.encode()))
+        return struct.pack(f"<{len(t := model(before + written))}I", *[x.id for x in t])
 
-    def after_space(piece: str) -> bytes:
-        found = spaced.get(piece)
+    def learnt(piece: str, memo: dict[str, bytes], before: str) -> bytes:
+        """Of a clean piece without spaces; ``before`` is the space before it, or nothing."""
+        found = memo.get(piece)
         if found is not None:
             return found
         if _letters(piece):
-            written = space + (piece if piece.isascii() else "".join(map(letters.__getitem__, piece.encode())))
-            found = struct.pack(f"<{len(t := model(written))}I", *[x.id for x in t])
-        elif _letters(word := piece.rstrip(",.;:!?")):
-            found = after_space(word) + alone(piece[len(word) :])
+            found = word(piece, before)
+        elif _letters(stem := piece.rstrip(",.;:!?")):
+            found = learnt(stem, memo, before) + learnt(piece[len(stem) :], bare, "")
         elif "\n" in piece and all(map(clean, parts := piece.split("\n"))):
-            return after_space(parts[0]) + b"".join(alone("\n") + alone(part) for part in parts[1:])
+            return learnt(parts[0], memo, before) + b"".join([line_feed + learnt(part, bare, "") for part in parts[1:]])
         else:
-            found = whole(" " + piece)
-        spaced[piece] = found
+            found = whole(" " + piece if before else piece)
+        memo[piece] = found
         return found
 
+    line_feed = whole("\n")
+
     def encode(text: str) -> bytes:
         if not plain:
             return whole(text)
@@ -169,26 +170,25 @@ def _encoder(held: dict):
         pieces = text.split(" ")
         out = list(map(spaced.get, pieces))
         out[0] = None
-        missing = [i for i, x in enumerate(out) if x is None]
         glued: set[int] = set()  # pieces without a sure border before them
-        for i in missing:
-            if not clean(pieces[i]):
-                glued |= {i, i + 1}
-        for i in missing:
-            if i not in glued and i + 1 not in glued:
-                out[i] = after_space(pieces[i]) if i else alone(pieces[i]) if pieces[i] else b""
-        glued.discard(0)
-        glued.discard(len(pieces))
-        end = -1
-        for i in sorted(glued):  # runs of glued pieces are encoded whole, with the piece before them
-            if i >= end:
-                begin, end = i - 1, i + 1
-                while end in glued:
-                    end += 1
-                out[begin] = whole((" " if begin else "") + " ".join(pieces[begin:end]))
-            out[i] = b""
-        if out[0] is None:
-            out[0] = whole(pieces[0]) if pieces[0] else b""
+        for i, found in enumerate(out):
+            if found is None:
+                piece = pieces[i]
+                if piece.isalpha() or clean(piece):
+                    out[i] = learnt(piece, spaced, space) if i else learnt(piece, bare, "")
+                else:
+                    glued |= {i, i + 1}
+        if glued:
+            end = -1
+            for i in sorted(glued - {0, len(pieces)}):  # runs of them are encoded whole, with the piece before them
+                if i >= end:
+                    begin, end = i - 1, i + 1
+                    while end in glued and end < len(pieces):
+                        end += 1
+                    out[begin] = whole((" " if begin else "") + " ".join(pieces[begin:end]))
+                out[i] = b""
+            if out[0] is None:
+                out[0] = whole(pieces[0])
         return b"".join(out)
 
     held["encode"] = encode
