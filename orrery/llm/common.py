@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +67,23 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+#: Bytes of a text that are split into words at a time.
+WINDOW = 1 << 22
+
+
+def space_cuts(raw: bytes, window: int = WINDOW) -> Iterator[bytes]:
+    """A text in pieces of about ``window`` bytes, cut at spaces: what a very long text holds in memory as words is bounded."""
+    if len(raw) <= window:
+        yield raw
+        return
+    start = 0
+    while start < len(raw):
+        stop = raw.find(b" ", start + window)
+        stop = len(raw) if stop < 0 else stop
+        yield raw[start:stop]
+        start = stop
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

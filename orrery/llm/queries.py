@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orrery.llm import byte_bpe, exact_dedup, license_scan, line_dedup, mixing, packed_tokens, pii, quality, simhash, url_filter, warc
+from orrery.llm import byte_bpe, divergence_audit, exact_dedup, filter_audit, license_scan, line_dedup, mixing, packed_tokens, pii, quality, simhash, url_filter, warc
 
-MODULES = [license_scan, warc, url_filter, simhash, mixing, pii, line_dedup, quality, exact_dedup, byte_bpe, packed_tokens]
+MODULES = [license_scan, warc, url_filter, simhash, mixing, pii, line_dedup, quality, exact_dedup, byte_bpe, divergence_audit, filter_audit, packed_tokens]
 
 
 def queries() -> dict:
