@@ -25,13 +25,13 @@ def rows(name, spark, data):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_sql(name, spark, data):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{data}/{t}.parquet'")
     df = QUERIES[name](spark, data)
     found = con.sql(SQL[name])
