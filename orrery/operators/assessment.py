@@ -1,4 +1,4 @@
-"""Assessing one object: chance of a period, power by injection, limits and checks on what it can be."""
+"""Limits and checks on what one object can be; its points and parts."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from orrery.functions import scalars as S
 from orrery.functions.scalars import col
-from orrery.functions.stats import draw
-from orrery.operators import kernels
 
 # Limits and labels of the surveyed rules.
 RV_COVERAGE, RV_NOISE, LEAST_TRANSITS = 0.9, 5.0, 10
@@ -16,40 +14,6 @@ SUBSTELLAR, DEEP_EVENT, TWIN_RATIO = 0.08, 0.02, 0.5
 LARGEST_DWARF, MASS_RATIOS = 1.5, (0.5, 2.0)
 
 
-def assess_periods(df: DataFrame, key: str, depth: Column, controls: int = 300, injections: int = 24, half_width: float = 0.002, steps: int = 2, bins: int = 50, width_bins: int = 2, quantile: float = 0.99, seed: int = 1) -> DataFrame:
-    """(key, period, found, snr, n_controls, p_value, threshold, power): a local box scan around the object's period,
-    the same around control periods away from its harmonics, and around periods at which an event of ``depth`` was put
-    into the points. p is (1 + controls as good) / (1 + controls); power is the share of injections whose scan reaches
-    the controls' ``quantile``.
-
-    df: points (key, t, flux, flux_err) with period and duration of the key. Trials are a table of keys and numbers, joined
-    to the points and summed in phase bins before anything is ordered, so no object is gathered in one task."""
-    name, key, df = key, "__object", df.withColumnRenamed(key, "__object")
-    ephemeris = df.groupBy(key).agg(F.first("period").alias("period"), F.first("duration").alias("duration"), F.min("t").alias("first_t"), F.max(depth).alias("depth"))
-    none = F.lit(None).cast("double")
-    own = ephemeris.select(key, F.lit("own").alias("kind"), F.lit(0).alias("nth"), F.col("period").alias("centre"), none.alias("at"), none.alias("t0"), "duration", none.alias("depth"))
-    drawn = kernels.control_periods(ephemeris.select(key, "period"), key, controls, seed)
-    control = drawn.select(key, F.lit("control").alias("kind"), F.col("k").alias("nth"), F.col("trial").alias("centre"), none.alias("at"), none.alias("t0"), none.alias("duration"), none.alias("depth"))
-    numbered = ephemeris.withColumn("nth", F.explode(F.sequence(F.lit(0), F.lit(injections - 1))))
-    at = F.col("period") * (1 + (2 * draw(seed + 1, key, "nth") - 1) * 0.7 * half_width)
-    injected = numbered.withColumn("at", at).select(key, F.lit("injected").alias("kind"), "nth", F.col("period").alias("centre"), "at", (F.col("first_t") + draw(seed + 2, key, "nth") * F.col("at")).alias("t0"), "duration", "depth")
-    trials = own.unionByName(control).unionByName(injected)
-    grid = F.transform(F.sequence(F.lit(-steps), F.lit(steps)), lambda i: F.col("centre") * (1 + half_width * i / steps))
-    rows = df.select(key, "t", "flux", "flux_err").join(trials.withColumn("trials", grid), key)
-    inside = F.col("at").isNotNull() & S.in_event("t", "at", "t0", "duration")
-    rows = rows.withColumn("flux", F.when(inside, F.col("flux") * (1 - F.col("depth"))).otherwise(F.col("flux")))
-    best = kernels.box_scan(rows.select(key, "kind", "nth", "t", "flux", "flux_err", "trials"), [key, "kind", "nth"], bins=bins, width_bins=width_bins)
-    controls_of = best.filter("kind = 'control'").groupBy(key).agg(F.percentile("snr", quantile).alias("threshold"), F.count(F.lit(1)).alias("n_controls"))
-    mine = best.filter("kind = 'own'").select(key, F.col("period").alias("found"), F.col("snr").alias("own_snr"))
-    met = best.filter("kind <> 'own'").join(mine.drop("found"), key).join(controls_of.drop("n_controls"), key, "left")
-    counts = met.groupBy(key).agg(
-        F.count(F.when((F.col("kind") == "control") & (F.col("snr") >= F.col("own_snr")), 1)).alias("as_good"),
-        (F.count(F.when((F.col("kind") == "injected") & (F.col("snr") >= F.col("threshold")), 1)) / F.lit(float(injections))).alias("power"),
-    )
-    out = ephemeris.select(key, "period").join(mine, key).join(controls_of, key, "left").join(counts, key, "left")
-    return out.select(F.col(key).alias(name), "period", "found", F.col("own_snr").alias("snr"), F.coalesce("n_controls", F.lit(0)).alias("n_controls"), F.try_divide(1 + F.col("as_good"), 1 + F.col("n_controls")).alias("p_value"), "threshold", "power")
-
-
 def ranked_parts(points: DataFrame, key: list[str], part: str, most: int = 3, least: int = 50) -> DataFrame:
     """(key, part, n, rank): a key's parts of at least so many points, most points first, then by part; the first few."""
     from pyspark.sql.window import Window

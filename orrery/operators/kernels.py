@@ -1,7 +1,7 @@
-"""Periodic search and timing: sums over trial grids where they can be expressed, grouped numpy kernels where not.
+"""Periodic tests and timing: sums over trial grids where they can be expressed, grouped numpy kernels where not.
 
-The grouped kernels take one object's points at a time; ``max_points`` bounds them. The box search folds an object beyond
-it by sums over trials and phase bins; ``event_times`` refuses it instead of cutting it.
+The grouped kernels take one object's points at a time; ``event_times`` refuses an object of more than ``max_points``
+instead of cutting it. The box searches are in ``boxes``.
 """
 
 from __future__ import annotations
@@ -16,107 +16,6 @@ from orrery.functions import scalars as S
 from orrery.functions.stats import draw, median
 
 MAX_POINTS = 2_000_000
-#: Phase bins of the box search in its shortest duration.
-OVERSAMPLE = 10
-
-
-def period_grid(low: float, high: float, n: int) -> np.ndarray:
-    return np.geomspace(low, high, n)
-
-
-def best_box(fold_w: np.ndarray, fold_wy: np.ndarray, p: float, width: float, start: float, durations: np.ndarray) -> tuple:
-    """Best (duration, t0, depth, depth_err, snr) of a box over the sums of one period's phase bins."""
-    n, sum_w, sum_wy = len(fold_w), fold_w.sum(), fold_wy.sum()
-    cw, cy = (np.concatenate([[0], np.cumsum(np.concatenate([f, f]))]) for f in (fold_w, fold_wy))
-    best = (np.nan,) * 4 + (-np.inf,)
-    for d in durations:
-        k = int(round(d / width))
-        if d >= p or k < 1 or k >= n:
-            continue
-        iw, iy = cw[k : k + n] - cw[:n], cy[k : k + n] - cy[:n]
-        ow, oy = sum_w - iw, sum_wy - iy
-        with np.errstate(divide="ignore", invalid="ignore"):
-            depth = oy / ow - iy / iw
-            snr = depth / np.sqrt(1 / iw + 1 / ow)
-        snr[~np.isfinite(snr)] = -np.inf
-        i = int(np.argmax(snr))
-        if snr[i] > best[4]:
-            best = (float(d), float(start + (i + k / 2) * width), float(depth[i]), float(depth[i] / snr[i]), float(snr[i]))
-    return best
-
-
-def box_search(t: np.ndarray, y: np.ndarray, err: np.ndarray, periods: np.ndarray, durations: np.ndarray, oversample: int = OVERSAMPLE) -> tuple:
-    """Best (period, duration, t0, depth, depth_err, snr) of a box against the weighted mean outside it."""
-    w = 1.0 / err**2
-    start, wy = t.min(), w * y
-    best = (np.nan,) * 5 + (-np.inf,)
-    width = durations.min() / oversample
-    for p in periods:
-        n = int(np.ceil(p / width))
-        at = np.minimum(((t - start) % p / width).astype(np.int64), n - 1)
-        found = best_box(np.bincount(at, w, n), np.bincount(at, wy, n), p, width, start, durations)
-        if found[4] > best[5]:
-            best = (float(p), *found)
-    return best
-
-
-BOX = "period double, duration double, t0 double, depth double, depth_err double, snr double, n long"
-
-
-def box_least_squares(df: DataFrame, key: str, t="t", y="flux", err="flux_err", n_periods=2000, longest: float | None = None, shortest=0.3, durations=(0.05, 0.1, 0.2, 0.4), least=10, max_points=MAX_POINTS) -> DataFrame:
-    """One row a key: the best box over geometric grids, by signal to noise. Periods go up to half the span. Points with a
-    null or NaN are left out; keys with fewer than ``least`` others, or too short a span, get nulls. Keys of more than
-    ``max_points`` points are searched by ``_folded`` on the same grid."""
-    kind, names = df.schema[key].dataType.simpleString(), [c.split()[0] for c in BOX.split(", ")]
-
-    def run(name, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.dropna()
-        x = part.sort_values("t").to_numpy(dtype=float).T if len(part) else np.zeros((3, 0))
-        span = np.ptp(x[0]) if len(part) else 0
-        top = min(longest or span / 2, span / 2)
-        if len(part) < least or top <= shortest:
-            row = (None,) * 6
-        else:
-            row = box_search(*x, period_grid(shortest, top, n_periods), np.asarray(durations))
-        return pd.DataFrame([(name[0], *row, len(part))], columns=[key, *names])
-
-    points = df.select(key, F.col(t).alias("t"), F.col(y).alias("y"), F.col(err).alias("e"))
-    there = F.lit(True)
-    for c in ("t", "y", "e"):
-        there = there & F.col(c).isNotNull() & ~F.isnan(c)
-    span = points.groupBy(F.col(key).alias("__key")).agg(F.count(F.when(there, 1)).alias("n"), F.count(F.lit(1)).alias("rows"), F.min(F.when(there, F.col("t"))).alias("start"), F.max(F.when(there, F.col("t"))).alias("end"))
-    large = span.filter(F.col("rows") > max_points)
-    same = F.col(key).eqNullSafe(F.col("__key"))
-    small = points.join(large.select("__key"), same, "left_anti").groupBy(key).applyInPandas(lambda name, part: run(name, part[["t", "y", "e"]]), f"{key} {kind}, {BOX}")
-    return small.unionByName(_folded(points.filter(there), large, key, n_periods, longest, shortest, durations, least).select(key, *names))
-
-
-def _folded(points: DataFrame, large: DataFrame, key: str, n_periods: int, longest: float | None, shortest: float, durations: tuple, least: int) -> DataFrame:
-    """The search of ``box_search`` for keys of any size: points times trial periods are summed a (key, trial, phase bin),
-    partially before the shuffle, so that a task holds the bins of one trial and never a key's points."""
-    half, width, wide = (F.col("end") - F.col("start")) / 2, min(durations) / OVERSAMPLE, np.asarray(durations)
-    large = large.withColumn("top", F.least(F.lit(float(longest)), half) if longest else half)
-    open_ = large.filter((F.col("n") >= least) & (F.col("top") > shortest)).select("__key", "start", "top")
-    trial = F.explode(F.sequence(F.lit(0), F.lit(n_periods - 1))).alias("trial")
-    rows = points.join(open_, F.col(key).eqNullSafe(F.col("__key"))).select("__key", "start", "t", "y", (1 / (F.col("e") * F.col("e"))).alias("w"), "top", trial)
-    rows = rows.withColumn("p", shortest * F.pow(F.col("top") / shortest, F.col("trial") / max(n_periods - 1, 1)))
-    at = F.least(F.floor(F.pmod(F.col("t") - F.col("start"), F.col("p")) / width), F.ceil(F.col("p") / width) - 1)
-    sums = rows.groupBy("__key", "trial", "p", "start", at.alias("at")).agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("y")).alias("wy"))
-    fields = BOX.removesuffix(", n long")
-
-    def run(name, part: pd.DataFrame) -> pd.DataFrame:
-        p, start = float(part["p"].iloc[0]), float(part["start"].iloc[0])
-        n, at = int(np.ceil(p / width)), part["at"].to_numpy()
-        found = best_box(np.bincount(at, part["w"], n), np.bincount(at, part["wy"], n), p, width, start, wide)
-        rows = [(name[0], name[1], p, *found)] if found[4] > -np.inf else []
-        return pd.DataFrame(rows, columns=["__key", "trial", *[c.split()[0] for c in fields.split(", ")]])
-
-    kind = large.schema["__key"].dataType.simpleString()
-    tried = sums.groupBy("__key", "trial").applyInPandas(run, f"__key {kind}, trial int, {fields}")
-    names = [c.split()[0] for c in fields.split(", ")]
-    best = tried.groupBy(F.col("__key").alias("__own")).agg(F.max_by(F.struct(*names), F.struct("snr", -F.col("trial"))).alias("b"))
-    met = large.join(best, F.col("__key").eqNullSafe(F.col("__own")), "left")
-    return met.select(F.col("__key").alias(key), *[F.col(f"b.{c}").alias(c) for c in names], "n")
 
 
 def box_scan(df: DataFrame, key: list[str], trials: list[float] | None = None, bins=50, width_bins=2, t="t", y="flux", err="flux_err") -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orrery.plans import assessment_queries, matching_queries, series_queries, survey_queries
+from orrery.plans import assessment_queries, matching_queries, series_queries, survey_queries, timing_queries, vetting_queries
 
-MODULES = [survey_queries.R, series_queries.R, matching_queries.R, assessment_queries.R]
+MODULES = [survey_queries.R, series_queries.R, matching_queries.R, assessment_queries.R, vetting_queries.R, timing_queries.R]
 
 
 def queries() -> dict:

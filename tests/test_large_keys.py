@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from orrery.operators import kernels, sampling
+from orrery.operators import boxes, sampling
 
 
 def test_box_search_of_large_keys_equals_the_grouped_one(spark):
@@ -15,7 +15,7 @@ def test_box_search_of_large_keys_equals_the_grouped_one(spark):
     rows += [(4, 5.0 + i / 1000, 1.0, 0.01) for i in range(200)]
     rows += [(1, 3.0, None, 0.01), (1, None, 1.0, 0.01), (2, float("nan"), 1.0, 0.01)]
     df = spark.createDataFrame(rows, "k long, t double, flux double, flux_err double").repartition(3)
-    search = lambda m: kernels.box_least_squares(df, "k", n_periods=300, shortest=0.5, durations=(0.1, 0.2), max_points=m)
+    search = lambda m: boxes.box_least_squares(df, "k", n_periods=300, shortest=0.5, durations=(0.1, 0.2), max_points=m)
     plain, folded = search(10**6), search(100)
     assert plain.columns == folded.columns
     plain, folded = ({r.k: r for r in f.collect()} for f in (plain, folded))

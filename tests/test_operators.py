@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from orrery.functions import ladders as L
 from orrery.functions import scalars as S
 from orrery.functions import stats
-from orrery.operators import kernels, matching, sampling, series, survey
+from orrery.operators import boxes, kernels, matching, sampling, series, survey
 from orrery.operators import relational as rel
 from orrery.sources import text
 from orrery.streaming import gaps
@@ -169,7 +169,7 @@ def frame(spark, curves):
 
 def test_box_search_recovers_a_period(spark):
     curves = {1: light_curve(), 2: light_curve(depth=0.0)}
-    got = {r.k: r for r in kernels.box_least_squares(frame(spark, curves), "k", n_periods=1500, shortest=0.5, durations=(0.1, 0.2)).collect()}
+    got = {r.k: r for r in boxes.box_least_squares(frame(spark, curves), "k", n_periods=1500, shortest=0.5, durations=(0.1, 0.2)).collect()}
     assert one(spark, S.outcome(F.lit(True), F.lit(got[1].period), F.lit(2.37))) in ("exact", "alias")
     assert got[1].depth == pytest.approx(0.07, abs=0.02) and got[1].snr > 20 > got[2].snr
 
