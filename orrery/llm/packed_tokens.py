@@ -52,12 +52,19 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
     """Ids in ``bits`` bits each, low bits first."""
     if len(ids) and int(ids.max()) >> bits:
         raise ValueError(f"an id needs more than {bits} bits")
-    wide = np.unpackbits(ids.astype("<u4").view(np.uint8), bitorder="little").reshape(-1, 32)
+    raw = ids.astype("<u4").view(np.uint8)
+    if bits % 8 == 0:  # whole bytes: the same layout without a detour over bits
+        return raw.reshape(-1, 4)[:, : bits // 8].tobytes()
+    wide = np.unpackbits(raw, bitorder="little").reshape(-1, 32)
     return np.packbits(wide[:, :bits], bitorder="little").tobytes()
 
 
 def unpack(raw: bytes, n: int, bits: int) -> np.ndarray:
     """The first ``n`` ids of a packed block."""
+    if bits % 8 == 0:
+        whole = np.zeros((n, 4), dtype=np.uint8)
+        whole[:, : bits // 8] = np.frombuffer(raw, np.uint8, n * bits // 8).reshape(n, bits // 8)
+        return whole.ravel().view("<u4")
     flat = np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=n * bits, bitorder="little").reshape(n, bits)
     wide = np.zeros((n, 32), dtype=np.uint8)
     wide[:, :bits] = flat

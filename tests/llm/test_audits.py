@@ -139,12 +139,14 @@ def test_orders(docs, labels):
     assert filter_audit.orders_report(filter_audit.counters(filter_audit.failure_masks(docs.limit(0)), labels)).count() == 0
 
 
-@pytest.mark.parametrize("bits", [1, 5, 8, 16, 17, 31, 32])
+@pytest.mark.parametrize("bits", [1, 5, 8, 16, 17, 24, 31, 32])
 def test_packing(bits):
     rng = np.random.default_rng(bits)
     for n in (0, 1, 7, 8, 1000):
         ids = rng.integers(0, 1 << bits, n, dtype=np.uint32)
         raw = packed_tokens.pack(ids, bits)
+        spelt = "".join(format(int(i), f"0{bits}b")[::-1] for i in ids)  # low bits first
+        assert raw == bytes(int(spelt[k : k + 8][::-1], 2) for k in range(0, len(spelt), 8))
         assert len(raw) == (n * bits + 7) // 8 and (packed_tokens.unpack(raw, n, bits) == ids).all()
     if bits < 32:
         with pytest.raises(ValueError):
