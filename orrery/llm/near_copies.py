@@ -11,7 +11,9 @@ those before it joined; every candidate's similarity is computed exactly from th
 3. SimHash tiles again, of the groups of round 2 that are not one component: sets that are just 0.8 alike differ by about
    19 of 128 bits, where blocks of equal bits no longer separate anything, so tiles of documents that meet are compared
    by exclusive-or and bit counts within ``WIDE`` of 128 bits; tile pairs whose population counts differ by more are skipped.
-   A pair of similarity 0.8 lies beyond ``WIDE`` about once in a million, one that shares nothing else within once in 50,000.
+   In small sets a few elements decide each bit: 3.5 of 10,000 pairs of 5 and 4 elements at 0.8 lie beyond ``WIDE``. So
+   pairs with a set of up to ``SMALL`` elements are candidates whatever their bits. Of larger sets a pair of similarity
+   0.8 lies beyond five deviations, about once in a million; one that shares nothing else lies within once in 50,000.
    Tiles give out their pairs while these are at most ``SPARSE`` a row, so their number grows with the rows. Those of
    denser tiles stay there: such a tile's sets are fetched once a row, and it gives a spanning forest of its links.
 
@@ -41,6 +43,8 @@ SHINGLE = 5
 PART, WHOLE = 4, 5
 #: Of 128 bits, those within which the last round takes candidates: five deviations beyond the mean at similarity 0.8.
 WIDE = 40
+#: Sets of so few elements are compared by size and prefix alone.
+SMALL = 32
 TILE = 512
 #: Tiles of so few rows are compared many at a time.
 FEW = 8
@@ -137,7 +141,8 @@ def _pairs(midst: bool):
     with the row in the midst of a tile, as rows (a, b), or all of them, as a row (rows, pairs) a tile."""
     def near(a: dict, b: dict) -> np.ndarray:
         bits = np.bitwise_count((a["fp"] ^ b["fp"]).view(np.uint64)) + np.bitwise_count((a["fp2"] ^ b["fp2"]).view(np.uint64))
-        return (bits <= WIDE) & (a["label"] != b["label"]) & (WHOLE * np.minimum(a["n"], b["n"]) >= PART * np.maximum(a["n"], b["n"]))
+        small = np.minimum(a["n"], b["n"]) <= SMALL
+        return ((bits <= WIDE) | small) & (a["label"] != b["label"]) & (WHOLE * np.minimum(a["n"], b["n"]) >= PART * np.maximum(a["n"], b["n"]))
 
     def centre(x: dict) -> np.ndarray:
         """The place, along the last axis, of the row whose fingerprint is nearest to the majority of its tile's."""

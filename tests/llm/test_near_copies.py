@@ -7,6 +7,8 @@ import pytest
 
 import corpus_pipeline
 from brute_force import near_brute
+from orrery.llm import near_copies as near
+from orrery.llm import simhash
 
 
 def made() -> dict:
@@ -38,6 +40,21 @@ def test_stage_against_brute_force(spark, data, source):
     assert len(kept) == len(set(kept)) and set(kept) == near_brute(texts)
 
 
+def test_small_sets_far_apart_in_bits(spark, data):
+    """Pairs of 4 and 5 shingles in common order, of similarity 0.8, whose fingerprints lie beyond the bits compared."""
+    rng, texts = random.Random(11), {}
+    while len(texts) < 8:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(9)]
+        a, b = near.shingles(" ".join(words)), near.shingles(" ".join(words[:8]))
+        bits = lambda s: (simhash.majority(s), simhash.majority(near._again(s)))
+        if sum((x ^ y).bit_count() for x, y in zip(bits(a), bits(b))) > near.WIDE:
+            texts[len(texts)] = " ".join(words)
+            texts[len(texts)] = " ".join(words[:8])
+    texts |= {100 + k: " ".join(f"x{rng.randrange(10**6)}" for _ in range(9)) for k in range(30)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, df, data).collect()} == near_brute(texts) == {0, 2, 4, 6, *range(100, 130)}
+
+
 def test_empty(spark, data):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert corpus_pipeline.near_copies(spark, df, data).collect() == []
