@@ -17,6 +17,7 @@ from orrery.functions import scalars as S
 from orrery.functions.scalars import ladder
 from orrery.functions.stats import MAD_SCALE, draw, median, robust
 from orrery.operators.kernels import chi2_tail
+from orrery.tables import written
 
 # Limits of the surveyed second-event search.
 STEPS_A_DURATION, SEARCH, WIDEST, SHOULDER = 4.0, (0.15, 0.85), 0.1, (1.2, 3.0)
@@ -128,11 +129,12 @@ def secondary_assessments(df: DataFrame, key: str, part: str, least_half: int =
     rows = rows.join(parts, [key, part]).join(several, key)
     orbit = F.floor((F.col("t") - F.col("t0")) / F.col("period") + 0.5)
     even = F.when(F.col("__parts") >= 2, F.pmod("__n", F.lit(2)) == 1).otherwise(F.pmod(orbit, F.lit(2)) == 0)
-    rows = rows.withColumn("share", F.when(even, "a").otherwise("b"))
+    rows = written(rows.withColumn("share", F.when(even, "a").otherwise("b")), "secondary-points")
     both = rows.withColumn("share", F.explode(F.array(F.lit("all"), F.col("share"))))
     enough = both.groupBy(key, "share").agg(F.count(F.lit(1)).alias("n")).filter((F.col("share") == "all") | (F.col("n") > least_half))
     found = second_events(both.join(enough.select(key, "share"), [key, "share"]), [key, "share"])
     wide = found.groupBy(key).agg(*[F.max(F.when(F.col("share") == s, F.struct("phase", "depth", "snr"))).alias(s) for s in ("all", "a", "b")]).filter("all IS NOT NULL")
+    wide = written(wide, "secondary-dips")  # a row a key
     info = rows.groupBy(key).agg(F.first("period").alias("period"), F.first("duration").alias("duration"))
     # orbits of each half that hold enough points of the window
     at = rows.join(wide.select(key, F.col("all.phase").alias("__at")), key)
@@ -152,7 +154,7 @@ def secondary_assessments(df: DataFrame, key: str, part: str, least_half: int =
         (whole.isNull(), "NOT_TESTABLE"), (whole["snr"] < LEAST_SNR, "NO_SECONDARY"), (F.least("orbits_a", "orbits_b") < LEAST_ORBITS, "INSUFFICIENT_FOR_HALVES"), (~alike, "SECONDARY_NOT_REPRODUCED"),
         (F.abs(whole["phase"] - 0.5) < F.greatest(F.lit(LEAST_OFFSET), 3 * sigma), "CIRCULAR_WITHIN_ERRORS"), otherwise="ECCENTRIC",
     )
-    out = out.withColumns({"first": first, "sigma": sigma})
+    out = written(out.withColumns({"first": first, "sigma": sigma}), "secondary-first")
     # only what still counts as eccentric is looked at again
     open_ = out.filter("first = 'ECCENTRIC'").select(key, F.col("all.phase").alias("second_phase"), F.col("all.depth").alias("second_depth"))
     left = rows.join(open_, key)
@@ -183,12 +185,12 @@ def confirmed_elsewhere(df: DataFrame, expected: DataFrame, key: str, controls:
     near = F.filter(F.transform(F.sequence(F.lit(-50), F.lit(50)), lambda i: i / 1000.0), lambda c: S.circular(F.col("phase") - c) <= F.col("half"))
     low = first.withColumn("shift", F.explode(near)).groupBy(key, "shift").agg(median("flux").alias("m"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_in)
     main = low.groupBy(key).agg(F.min_by("shift", F.struct("m", F.abs("shift"), "shift")).alias("main_shift"))
-    own = folded(rows.join(main, key), F.col("t0") + F.col("main_shift") * F.col("period"))
+    own = written(folded(rows.join(main, key), F.col("t0") + F.col("main_shift") * F.col("period")), "confirm-points")
     drawn = F.transform(F.sequence(F.lit(0), F.lit(3 * controls - 1)), lambda i: F.struct(i.alias("nth"), (0.1 + 0.8 * draw(seed, key, i)).alias("at")))
     far = F.filter(drawn, lambda c: F.abs(c["at"] - F.col("second_phase")) >= 4 * F.col("half"))
     per = own.groupBy(key).agg(F.first("half").alias("half"), F.first("second_phase").alias("second_phase"))
-    wanted = per.select(key, F.transform(far, lambda c: c["at"]).alias("controls"), F.transform(far, lambda c: c["nth"]).alias("nths"))
-    found = dips(own.join(wanted, key), [key], F.concat(F.array("second_phase"), F.col("controls")), least_in).join(per, key)
+    wanted = written(per.select(key, F.transform(far, lambda c: c["at"]).alias("controls"), F.transform(far, lambda c: c["nth"]).alias("nths")), "confirm-controls")
+    found = written(dips(own.join(wanted, key), [key], F.concat(F.array("second_phase"), F.col("controls")), least_in).join(per, key), "confirm-dips")
     at = found.filter(F.col("phase") == F.col("second_phase")).select(key, F.col("snr").alias("at_snr"), "n_in")
     order = wanted.select(key, F.explode(F.arrays_zip("controls", "nths")).alias("c")).select(key, F.col("c.controls").alias("phase"), F.col("c.nths").alias("nth"))
     chance = found.select(key, "phase", "snr").join(order, [key, "phase"]).withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("nth"))).filter(F.col("rank") <= controls)

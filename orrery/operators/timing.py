@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from orrery.functions.scalars import ladder
 from orrery.functions.stats import draw, median
 from orrery.operators.kernels import chi2_tail, gls_line
+from orrery.tables import written
 
 # Limits of the surveyed timing chain.
 BINS_A_DURATION, LEAST_IN_BIN, LEAST_BINS = 12, 3, 10
@@ -162,7 +163,7 @@ def offset_scans(df: DataFrame, shapes: DataFrame, key: str, part: str, span: fl
     rows = df.filter("t IS NOT NULL AND flux IS NOT NULL AND flux_err > 0").select(key, part, "t", "flux", w.alias("w"), "period", "t0", "duration").join(shapes.select(key, "offset", "shape"), key)
     group, d = [key, part], F.col("duration")
     reach = F.floor(span * F.col("period") / (SCAN_STEP * d)).cast("int")
-    coarse = _gains(rows, group, F.transform(F.sequence(-reach, reach), lambda i: i * SCAN_STEP * d))
+    coarse = written(_gains(rows, group, F.transform(F.sequence(-reach, reach), lambda i: i * SCAN_STEP * d)), "offset-gains")
     best = coarse.groupBy(*group).agg(F.max_by(F.struct("shift", "gain"), F.struct("gain", -F.abs("shift"), "shift")).alias("b")).select(*group, F.col("b.shift").alias("top"), F.col("b.gain").alias("top_gain"))
     width = df.groupBy(*group).agg(F.first("duration").alias("duration"))
     rival = coarse.join(best, group).join(width, group).filter(F.abs(F.col("shift") - F.col("top")) > APART * d).groupBy(*group).agg(F.max("gain").alias("rival_gain"))
@@ -350,7 +351,8 @@ def season_times(df: DataFrame, shapes: DataFrame, key: str, season: str, replic
     info = rows.groupBy(*group).agg(F.first("period").alias("period"), F.first(centre).alias("centre"), F.first("half").alias("half"), F.percentile("t", 0.5).alias("middle"), F.count(F.lit(1)).alias("n"))
     best = coarse.filter("chi2 IS NOT NULL").groupBy(*group).agg(F.min_by("shift", F.struct("chi2", "shift")).alias("top"), F.min("shift").alias("lo"), F.max("shift").alias("hi")).join(info, group)
     step_ = F.col("half") / 2 / COARSE_STEPS
-    best = best.filter((F.col("top") > F.col("lo") + (EDGE - 0.5) * step_) & (F.col("top") < F.col("hi") - (EDGE - 0.5) * step_) & (F.col("n") >= least))
+    inner = (F.col("top") > F.col("lo") + (EDGE - 0.5) * step_) & (F.col("top") < F.col("hi") - (EDGE - 0.5) * step_)
+    best = written(best.filter(inner & (F.col("n") >= least)), "season-shifts")  # a row a season
     fine = F.transform(F.sequence(F.lit(-(FINE_STEPS // 2)), F.lit(FINE_STEPS // 2)), lambda i: F.col("top") + i * (FINE_WIDTH * step_ / (FINE_STEPS // 2)))
     own = rows.join(best.select(*group, "top", fine.alias("shifts")), group)
     found = _chi2(_shift_sums(own, group, kinds, replicates)).filter("chi2 IS NOT NULL").groupBy(*group, "replicate").agg(F.min_by(F.struct("shift", "chi2", "flat"), F.struct("chi2", "shift")).alias("b"))
