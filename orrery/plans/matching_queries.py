@@ -166,14 +166,16 @@ def blocklist_clear(t):
     return t.documents.select("doc_id", S.is_clear_of("text", ["idiot", "moron", "worthless"]).alias("clear"))
 
 
-@R.add()
+@R.add("""WITH p AS (SELECT p_partkey, p_size / 8.0 AS m, (p_partkey % 9) / 10.0 AS e, p_size::DOUBLE AS s FROM part),
+k AS (SELECT *, list_reduce(list_prepend(m + e * sin(m), list_transform(range(60), lambda i: i::DOUBLE)), lambda x, i: x - (x - e * sin(x) - m) / (1 - e * cos(x))) AS a, 1.0361e-7 * pow(1 - e * e, 1.5) * pow(s, 3) * 3.0 AS f FROM p)
+SELECT p_partkey, a AS anomaly, 2 * atan2(sqrt(1 + e) * sin(a / 2), sqrt(1 - e) * cos(a / 2)) AS true_anomaly, f,
+list_reduce(list_prepend(f + 10.0, list_transform(range(80), lambda i: i::DOUBLE)), lambda x, i: x - (pow(x, 3) / pow(1 + x, 2) - f) / (x * x * (x + 3) / pow(1 + x, 3))) AS companion FROM k""", ("anomaly", "true_anomaly", "f", "companion"))
 def orbit_scalars(t):
-    """Kepler's equation, mass functions and bisection as folds (checked by their inverses in the tests)."""
+    """Kepler's equation, mass functions and bisection as folds (in the SQL by other steps)."""
     m, e = F.col("p_size") / 8.0, (F.col("p_partkey") % 9) / 10.0
     k = S.kepler_anomaly(m, e)
     f = S.mass_function(F.col("p_size"), F.lit(3.0), e)
-    got = t.part.select("p_partkey", k.alias("anomaly"), S.true_anomaly(k, e).alias("true_anomaly"), f.alias("f"), S.least_companion(f, F.lit(1.0)).alias("companion"))
-    return got.select("p_partkey", *[F.round(c, 6).alias(c) for c in got.columns[1:]])
+    return t.part.select("p_partkey", k.alias("anomaly"), S.true_anomaly(k, e).alias("true_anomaly"), f.alias("f"), S.least_companion(f, F.lit(1.0)).alias("companion"))
 
 
 @R.add("""SELECT p_partkey, CASE WHEN p_size <= 10 THEN 1 + (2.0 - 1) * (greatest(p_size, 1.0) - 1) / 9 WHEN p_size <= 40 THEN 2 + 4.0 * (p_size - 10) / 30 ELSE 6.0 END AS y, floor(2000 * least(4.0, greatest(1.0, p_size / 28.0)))::BIGINT AS grid FROM part""", ("y",))

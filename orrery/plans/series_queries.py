@@ -235,7 +235,13 @@ def edge_bins(t):
     return series.edge_bins(t.series, K, S.phase("t", "period", "t0"), "flux", stats.edges_array([-0.5, -0.25, -0.1, 0.0, 0.1, 0.25, 0.5]))
 
 
-@R.add()
+def fine_edges(width: float) -> list[float]:
+    """The edges of the next query: each fiftieth of a cycle, and steps of a tenth of 0.75 widths around 0 and 0.5."""
+    fine = [round(c + i * 0.75 * width / 10, 9) for c in (0.0, 0.5) for i in range(-10, 11)]
+    return sorted({round(-0.5 + i * 0.02, 9) for i in range(51)} | {x for x in fine if -0.5 < x < 0.5})
+
+
+@R.add(f"""WITH {SERIES}, b AS (SELECT k, flux, len(list_filter({fine_edges(0.1)}, lambda e: e <= {phase()})) AS bin FROM s) SELECT k, bin::INT AS bin, {med('flux')} AS y, count(*) AS n FROM b WHERE bin > 0 AND bin < {len(fine_edges(0.1))} GROUP BY ALL HAVING count(*) >= 2""", ("y",))
 def adaptive_bins(t):
     """Bins on edges that are fine around events."""
     return series.edge_bins(t.series, K, S.phase("t", "period", "t0"), "flux", series.adaptive_edges(F.lit(0.1)), 2)
@@ -317,16 +323,16 @@ def refined_t0(t):
 
 @R.add()
 def event_times(t):
-    """Template timing of each event (grouped numpy)."""
-    return kernels.event_times(t.series, "k", shifts=41, least=2, bins=10, least_gain=0.0).select("k", "epoch", *[F.round(c, 5).alias(c) for c in ("time", "time_err")])
+    """Template timing of each event (grouped numpy), 301 shifts and a gain of 25 at least."""
+    return kernels.event_times(t.lights, "band", shifts=301, widths=0.75, least_gain=25.0).select("band", "epoch", *[F.round(c, 5).alias(c) for c in ("time", "time_err")])
 
 
 @R.add()
 def ephemeris_lines(t):
     """Noise-aware lines and their hold-out tests."""
-    times = kernels.event_times(t.series, "k", shifts=41, least=2, bins=10, least_gain=0.0).withColumn("sector", F.floor((F.col("time") - 19720) / 10))
-    fits = kernels.fit_lines(times, "k")
-    return fits.select("k", "n", "n_tests", *[F.round(c, 4).alias(c) for c in ("t0", "period")])
+    times = kernels.event_times(t.lights, "band", shifts=301, widths=0.75, least_gain=25.0).withColumn("sector", F.floor((F.col("time") - 19723) / 7))
+    fits = kernels.fit_lines(times, "band")
+    return fits.select("band", "n", "n_tests", *[F.round(c, 4).alias(c) for c in ("t0", "period")])
 
 
 @R.add(f"""WITH {SERIES}, r AS (SELECT k, period, flux AS y, 400.0 AS w, sin(2 * pi() * (t - t0) / period) AS s, cos(2 * pi() * (t - t0) / period) AS c FROM s), m AS (SELECT k, count(*) AS n, sum(w) AS w, sum(w*s) AS ws, sum(w*c) AS wc, sum(w*s*s) AS ss, sum(w*s*c) AS sc, sum(w*c*c) AS cc, sum(w*y) AS wy, sum(w*s*y) AS sy, sum(w*c*y) AS cy FROM r GROUP BY k),
@@ -337,10 +343,12 @@ def sinusoid_fit(t):
     return got.select(F.col("id").alias("k"), "n", F.col("k").alias("k_amp"), "gamma", "delta_chi2")
 
 
-@R.add()
+@R.add(f"""WITH {SERIES}, r AS (SELECT k, p, flux AS y, 400.0 AS w, sin(2 * pi() * t / p) AS s, cos(2 * pi() * t / p) AS c FROM s, (VALUES (3.0::DOUBLE), (5.0), (8.0), (13.0)) v(p)), m AS (SELECT k, p, sum(w) AS w, sum(w*s) AS ws, sum(w*c) AS wc, sum(w*s*s) AS ss, sum(w*s*c) AS sc, sum(w*c*c) AS cc, sum(w*y) AS wy, sum(w*s*y) AS sy, sum(w*c*y) AS cy FROM r GROUP BY k, p),
+d AS (SELECT *, ss*(cc*w-wc*wc) - sc*(sc*w-wc*ws) + ws*(sc*wc-cc*ws) AS d, sy*(cc*w-wc*wc) - sc*(cy*w-wc*wy) + ws*(cy*wc-cc*wy) AS da, ss*(cy*w-wc*wy) - sy*(sc*w-wc*ws) + ws*(sc*wy-cy*ws) AS db, ss*(cc*wy-cy*wc) - sc*(sc*wy-cy*ws) + sy*(sc*wc-cc*ws) AS dg FROM m),
+g AS (SELECT k, p, da/d*sy + db/d*cy + dg/d*wy - wy*wy/w AS gain FROM d), o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY round(gain, 6) DESC, p) AS n FROM g) SELECT k, p AS period, gain AS delta_chi2 FROM o WHERE n = 1""", ("delta_chi2",), 4)
 def third_body_grid(t):
     got = kernels.third_body_grid(t.series.select(F.col("k").alias("id"), "t", "flux", "flux_err"), ["id"], [3.0, 5.0, 8.0, 13.0], "t", "flux", "flux_err")
-    return got.select(F.col("id").alias("k"), "period", F.round("delta_chi2", 4).alias("delta_chi2"))
+    return got.select(F.col("id").alias("k"), "period", "delta_chi2")
 
 
 @R.add(f"""WITH {SERIES}, f AS (SELECT k, min(t) AS t0, any_value(period) AS period, 0.01::DOUBLE AS e0, 0.001::DOUBLE AS ep FROM s GROUP BY k), w AS (SELECT * FROM (VALUES (1, 19730.0::DOUBLE, 19735.0::DOUBLE), (2, 19740.0, 19743.0)) v(win, lo, hi)), c AS (SELECT *, ceil((lo - t0) / period)::BIGINT AS a, floor((hi - t0) / period)::BIGINT AS b FROM f, w)
@@ -358,10 +366,11 @@ def connected_parts(t):
     return kernels.connect_parts(parts, "k")
 
 
-@R.add()
+@R.add(f"""WITH i AS (SELECT DISTINCT user_id AS id FROM events), r AS (SELECT id, k, 1.7::DOUBLE + (id % 7) * 0.31::DOUBLE AS period, 0.3::DOUBLE * pow(13.0::DOUBLE / 0.3, ('0x' || substr(md5('5:' || id || ':' || k), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0) AS trial FROM i, (SELECT unnest(range(20))::INT AS k))
+SELECT id, k, trial FROM r WHERE len(list_filter([1.0, 2.0, 3.0, 4.0, 1.0 / 2, 3.0 / 2, 1.0 / 3, 2.0 / 3, 4.0 / 3, 1.0 / 4, 3.0 / 4], lambda x: abs(trial / period / x - 1) < 0.02)) = 0""", ("trial",))
 def control_periods(t):
     keys = t.series.groupBy("k").agg(F.first("period").alias("period"))
-    return kernels.control_periods(keys.withColumnRenamed("k", "id"), "id", 20, 5).select("id", "k", F.round("trial", 6).alias("trial"))
+    return kernels.control_periods(keys.withColumnRenamed("k", "id"), "id", 20, 5).select("id", "k", "trial")
 
 
 @R.add()
