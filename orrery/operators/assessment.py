@@ -23,19 +23,29 @@ def ranked_parts(points: DataFrame, key: list[str], part: str, most: int = 3, le
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most)
 
 
-def epoch_arrays(df: DataFrame, t: str, flux: str, err: str, flags: list[str], offset: float) -> DataFrame:
-    """(t_mjd, flux, flux_err): finite points with a positive error and no flag set; the scale of the times (days from
-    ``offset``, modified or full Julian dates) is told from their median. A median of no known scale gives no rows."""
-    x = df.select(F.col(t).try_cast("double").alias("t"), F.col(flux).try_cast("double").alias("flux"), F.col(err).try_cast("double").alias("flux_err"), *[F.lower(F.col(c).cast("string")).alias(f"__f{i}") for i, c in enumerate(flags)])
+def epoch_arrays(df: DataFrame, t: str, flux: str, err: str, flags: list[str], offset: float, key: str | None = None, unknown: str = "drop") -> DataFrame:
+    """(key, t_mjd, flux, flux_err): finite points with a positive error and no flag set. The scale of the times is told for
+    each key (or for all points) from where their median lies: days from ``offset``, modified or full Julian dates. A
+    median of no known scale leaves the points out, or is an error with unknown='error'.
+
+    The median itself isn't needed: counts of the times below each scale's ends say whether both middle ones lie inside, a
+    partial aggregation of any number of points."""
+    keys = [F.col(key)] if key else []
+    x = df.select(*keys, F.col(t).try_cast("double").alias("t"), F.col(flux).try_cast("double").alias("flux"), F.col(err).try_cast("double").alias("flux_err"), *[F.lower(F.col(c).cast("string")).alias(f"__f{i}") for i, c in enumerate(flags)])
     finite = [F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")) for c in ("t", "flux", "flux_err")]
-    clear = [~F.coalesce(F.col(f"__f{i}").isin("true", "1", "1.0"), F.lit(False)) for i in range(len(flags))]
     kept = x.filter(finite[0] & finite[1] & finite[2] & (F.col("flux_err") > 0))
-    for c in clear:
-        kept = kept.filter(c)
-    middle = F.broadcast(kept.agg(F.percentile("t", 0.5).alias("middle")))  # one row
-    m = F.col("middle")
-    mjd = F.when((m > 1000) & (m < 5000), F.col("t") + offset - 2400000.5).when((m > 50000) & (m < 70000), F.col("t")).when((m > 2400000) & (m < 2600000), F.col("t") - 2400000.5)
-    return kept.crossJoin(middle).select(mjd.alias("t_mjd"), "flux", "flux_err").filter("t_mjd IS NOT NULL")
+    for i in range(len(flags)):
+        kept = kept.filter(~F.coalesce(F.col(f"__f{i}").isin("true", "1", "1.0"), F.lit(False)))
+    scales = {"offset": (1000, 5000, F.col("t") + offset - 2400000.5), "modified": (50000, 70000, F.col("t")), "full": (2400000, 2600000, F.col("t") - 2400000.5)}
+    n = F.count(F.lit(1))
+    middle = lambda lo, hi: (F.count(F.when(F.col("t") <= lo, 1)) < F.ceil(n / 2)) & (F.count(F.when(F.col("t") < hi, 1)) > F.floor(n / 2))
+    told = F.coalesce(*[F.when(middle(lo, hi), name) for name, (lo, hi, _) in scales.items()])
+    counts = kept.groupBy(*[k.alias("__key") for k in keys]).agg(told.alias("scale"))
+    met = kept.join(counts, F.col(key).eqNullSafe(F.col("__key"))) if key else kept.crossJoin(F.broadcast(counts))  # one row
+    mjd = F.coalesce(*[F.when(F.col("scale") == name, value) for name, (_, _, value) in scales.items()])
+    if unknown == "error":
+        mjd = F.when(F.col("scale").isNull(), F.raise_error(F.lit("times of no known scale")).cast("double")).otherwise(mjd)
+    return met.select(*keys, mjd.alias("t_mjd"), "flux", "flux_err").filter("t_mjd IS NOT NULL")
 
 
 def injected_box(t, flux, period, t0, duration, depth) -> Column:

@@ -131,9 +131,17 @@ def row_digest(columns: list[str]) -> Column:
     return F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]), 256)
 
 
-def bundle_digest(df: DataFrame, name: str, digest: str) -> DataFrame:
-    """One digest over sorted 'name<tab>digest' lines of a manifest (a small table: a row a part)."""
-    return df.agg(F.sha2(F.concat(F.array_join(F.array_sort(F.collect_list(F.concat_ws("\t", name, digest))), "\n"), F.lit("\n")), 256).alias("bundle_sha256"))
+#: Lines of a manifest: a digest over their text is made in one task.
+MOST_LINES = 1_000_000
+
+
+def bundle_digest(df: DataFrame, name: str, digest: str, most: int = MOST_LINES) -> DataFrame:
+    """One digest over sorted 'name<tab>digest' lines of a manifest, a row a part. A digest of one text can't be made in
+    pieces, so a table of more than ``most`` lines is refused before it is gathered: digest it by parts first."""
+    lines = df.select(F.concat_ws("\t", name, digest).alias("line")).limit(most + 1)
+    held = lines.agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("line")).alias("lines"))
+    refused = F.raise_error(F.lit(f"a manifest of over {most} lines")).cast("string")
+    return held.select(F.when(F.col("n") > most, refused).otherwise(F.sha2(F.concat(F.array_join("lines", "\n"), F.lit("\n")), 256)).alias("bundle_sha256"))
 
 
 def verify_bundle(frozen: DataFrame, now: DataFrame, name: str, digest: str) -> DataFrame:
