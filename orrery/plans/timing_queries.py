@@ -39,6 +39,18 @@ def centre_lines(t):
     return timing.robust_lines(times(t), K)
 
 
+@R.add(rounded=("period", "score"))
+def refined_main_periods(t):
+    """Each type's period by its main events alone, from a nominal one that is 0.1 % off."""
+    return timing.refined_main_periods(t.lights.withColumns({"t0": F.col("t0") + 0.1, "period": F.lit(3.003), "duration": F.lit(0.4)}), K)
+
+
+@R.add(rounded=("t0", "depth"))
+def aligned_parts(t):
+    """t0 on the main event of each half of the month."""
+    return timing.aligned_parts(t.lights.withColumn("half", F.floor((F.col("t") - 19723) / 15)), K, "half", 25)
+
+
 @R.add(rounded=("offset", "gain", "amplitude", "rival_gain"))
 def offset_scans(t):
     """Where each week's events lie against the ephemeris, and whether that is the only place."""
