@@ -261,11 +261,15 @@ def _meetings(named: DataFrame, tag: str) -> DataFrame:
     """(h, item, ones): rows by the shingles they meet in, of the groups that are not one component yet."""
     groups = named.select(F.explode("first").alias("h"), "label").groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     mixed = materialise(groups.filter("lo <> hi").select("h"), "near-mixed")
-    flat = named.select("*", F.posexplode("first").alias("at", "h"))
-    earlier = [F.when(F.col("at") > k, F.get("first", F.lit(k)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).otherwise(-1).alias(name) for k, name in enumerate(EARLIER)]
+    # most elements meet nobody, so they travel without the fields that only meetings need
+    flat = named.select("row", F.posexplode("first").alias("at", "h"))
+    narrow = materialise(flat.join(mixed.hint("merge"), "h", "left_semi"), "near-narrow")
+    first = [F.coalesce(F.get("first", F.lit(k)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"), F.lit(-1)).alias(name) for k, name in enumerate(EARLIER)]
+    flat = narrow.join(named.select("row", "n", "fp", "fp2", "label", *first).hint("merge"), "row")
+    earlier = [F.when(F.col("at") > k, F.col(name)).otherwise(-1).alias(name) for k, name in enumerate(EARLIER)]
     flat = flat.select("h", F.struct("row", "n", "at", "fp", "fp2", "label", *earlier).alias("item"))
-    met = materialise(flat.join(mixed.hint("merge"), "h").withColumn("ones", F.bit_count("item.fp") + F.bit_count("item.fp2")), tag)
-    discard(mixed)
+    met = materialise(flat.withColumn("ones", F.bit_count("item.fp") + F.bit_count("item.fp2")), tag)
+    discard(mixed, narrow)
     return met
 
 
