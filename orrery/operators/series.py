@@ -99,7 +99,7 @@ def robust_depth(df: DataFrame, key: list[str], t="t", y="flux") -> DataFrame:
     both = mid.join(spread, key, "left")
     enough = (F.col("n_in") >= 3) & (F.col("n_out") >= 3)
     depth = F.when(enough, F.col("out") - F.col("in"))
-    error = F.when(F.col("mad") > 0, F.col("mad") * HALF_PI_ROOT / F.sqrt(F.col("n_in")))
+    error = F.when(enough & (F.col("mad") > 0), F.col("mad") * HALF_PI_ROOT / F.sqrt(F.greatest("n_in", F.lit(1))))
     return both.select(*key, "n_in", "n_out", depth.alias("depth"), (depth / error).alias("sigma"), (~enough).alias("mismatch"))
 
 
