@@ -277,7 +277,9 @@ def injected_model(t):
 @R.add(f"""WITH {SERIES}, e AS (SELECT *, pow(10, -0.4 * ((20 - ln(v)) - quantile_cont(20 - ln(v), 0.5) OVER (PARTITION BY k, band))) AS f, 0.01 + 0.01 * (event_id % 25) AS me FROM s WHERE event_id % 7 > 0 AND 0.01 + 0.01 * (event_id % 25) <= 0.2), m AS (SELECT *, {med('f')} OVER (PARTITION BY k) AS m FROM e), c AS (SELECT *, 1.4826 * {med('abs(f - m)')} OVER (PARTITION BY k) AS sg FROM m)
 SELECT event_id, f AS flux, f * me / 1.0857 AS flux_err FROM c WHERE f < 1 + greatest(5 * sg, 0.05)""", ("flux", "flux_err"))
 def relative_flux(t):
-    rows = t.series.withColumns({"mag": 20 - F.log("v"), "magerr": 0.01 + 0.01 * (F.col("event_id") % 25), "catflags": (F.col("event_id") % 7 == 0).cast("int")}).drop("flux", "flux_err")
+    # a flux of zero has an infinite magnitude, which counts in its band's median
+    mag = F.when(F.col("v") == 0, F.lit(float("inf"))).otherwise(20 - F.log("v"))
+    rows = t.series.withColumns({"mag": mag, "magerr": 0.01 + 0.01 * (F.col("event_id") % 25), "catflags": (F.col("event_id") % 7 == 0).cast("int")}).drop("flux", "flux_err")
     return series.relative_flux(rows, K, "band").select("event_id", "flux", "flux_err")
 
 
