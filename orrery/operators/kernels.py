@@ -16,6 +16,8 @@ from orrery.functions import scalars as S
 from orrery.functions.stats import draw, median
 
 MAX_POINTS = 2_000_000
+#: Relative difference below which two sums of the same points are equal.
+SAME = 1e-9
 
 
 def box_scan(df: DataFrame, key: list[str], trials: list[float] | None = None, bins=50, width_bins=2, t="t", y="flux", err="flux_err") -> DataFrame:
@@ -53,7 +55,8 @@ def lomb_scargle(df: DataFrame, key: list[str], frequencies: list[float], t="t",
 
 
 def fold_test(df: DataFrame, key: list[str], shifts=200, t="t", y="flux", err="flux_err") -> DataFrame:
-    """Per key: weighted depth at the ephemeris, its z, and the share of phase shifts that do at least as well."""
+    """Per key: weighted depth at the ephemeris, its z, and the share of phase shifts that do at least as well. Shifts that
+    hold the same points differ in the last bits where their sums were merged in other orders; they do as well."""
     w = 1 / F.pow(F.col(err), 2)
     rows = df.select(*key, t, y, "period", "t0", "duration", w.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(shifts - 1))).alias("__k"))
     inside = S.in_event(t, "period", F.col("t0") + F.col("__k") * F.col("period") / shifts, "duration")
@@ -62,7 +65,7 @@ def fold_test(df: DataFrame, key: list[str], shifts=200, t="t", y="flux", err="f
     m = m.withColumn("depth", depth).withColumn("z", depth / F.sqrt(1 / F.col("a") + 1 / F.col("c")))
     own = m.filter("__k = 0").select(*key, "depth", "z")
     rest = m.filter("__k > 0 AND z IS NOT NULL").select(*key, F.col("z").alias("z_k"))
-    joined = own.join(rest, key, "left").groupBy(*key, "depth", "z").agg(F.count("z_k").alias("n"), F.count(F.when(F.col("z_k") >= F.col("z"), 1)).alias("hits"))
+    joined = own.join(rest, key, "left").groupBy(*key, "depth", "z").agg(F.count("z_k").alias("n"), F.count(F.when(F.col("z_k") >= F.col("z") - SAME * F.greatest(F.abs("z"), F.lit(1.0)), 1)).alias("hits"))
     return joined.select(*key, "depth", "z", ((1 + F.col("hits")) / (1 + F.col("n"))).alias("p_value"))
 
 
