@@ -165,7 +165,8 @@ def screening(scored: DataFrame, score: str, label: str, recalls=(0.95, 0.9, 0.8
 
 
 def cross_validated(df: DataFrame, key: str, label: str, numbers: list[str], categories: list[str], folds: int = 5, seed: int = 7) -> DataFrame:
-    """(model, fold, auc) of a logistic regression and boosted trees, folds by hash inside each class."""
+    """(model, fold, auc) of a logistic regression and boosted trees, folds by hash inside each class. Every pass of a fit
+    reads the rows from a written table."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier, LogisticRegression
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
