@@ -1,7 +1,7 @@
 """Periodic tests and timing: sums over trial grids where they can be expressed, grouped numpy kernels where not.
 
-The grouped kernels take one object's points at a time; ``event_times`` refuses an object of more than ``max_points``
-instead of cutting it. The box searches are in ``boxes``.
+The grouped kernels take one object's points at a time; ``event_times`` deals those of an object with more than
+``max_points`` to several tasks and adds their sums. The box searches are in ``boxes``.
 """
 
 from __future__ import annotations
@@ -14,8 +14,10 @@ from pyspark.sql.window import Window
 
 from orrery.functions import scalars as S
 from orrery.functions.stats import draw, median
+from orrery.tables import spread, written
 
-MAX_POINTS = 2_000_000
+#: Points near events that a task of ``event_times`` takes at once, and those that it holds against all shifts together.
+MAX_POINTS, BLOCK = 100_000, 4_096
 #: Relative difference below which two sums of the same points are equal.
 SAME = 1e-9
 
@@ -89,50 +91,92 @@ def control_periods(df: DataFrame, key: str, n: int, seed, low=0.3, high=13.0, h
 # -- timing -----------------------------------------------------------------------------------------------------------
 
 
+def _peak(top: np.ndarray, bottom: np.ndarray, grid: np.ndarray, least_gain: float) -> tuple | None:
+    """(shift, its error, amplitude, gain) of an event from its sums at the shifts of a grid; None without a clear peak."""
+    gain = np.where((bottom > 0) & (top > 0), top * top / np.maximum(bottom, 1e-300), 0.0)
+    i = int(np.argmax(gain))
+    if gain[i] < least_gain or i in (0, len(grid) - 1):
+        return None
+    a, b, c = gain[i - 1 : i + 2]
+    bend, step = a - 2 * b + c, grid[1] - grid[0]
+    if bend >= 0:
+        return None
+    return grid[i] + 0.5 * (a - c) / bend * step, float(np.sqrt(2.0 / (-bend)) * step), float(top[i] / bottom[i]), float(b)
+
+
 def event_times(df: DataFrame, key: str, t="t", y="flux", err="flux_err", shifts=201, widths=1.0, least=5, bins=40, least_gain=4.0, max_points=MAX_POINTS) -> DataFrame:
     """(key, epoch): time of each event by sliding the object's folded template along it. At each shift the amplitude is
-    the closed-form least-squares one; a parabola through the best three gives the time, its curvature the error."""
-    kind = df.schema[key].dataType.simpleString()
+    the closed-form least-squares one; a parabola through the best three gives the time, its curvature the error.
 
-    def run(name, part: pd.DataFrame) -> pd.DataFrame:
+    Templates are medians by aggregation. An object of up to ``max_points`` points near its events is a task's; of a larger
+    one each event is dealt out in parts of about that size, whose sums at each shift are added."""
+    kind = df.schema[key].dataType.simpleString()
+    names = {"t": t, "y": y, "e": err, "period": "period", "t0": "t0", "duration": "duration"}
+    points, there = df.select(key, *[F.col(c).cast("double").alias(a) for a, c in names.items()]), F.col(key).isNotNull()
+    for c in names:
+        there = there & F.col(c).isNotNull() & ~F.isnan(c)
+    d, n = F.col("duration"), F.rint((F.col("t") - F.col("t0")) / F.col("period"))
+    dt = F.col("t") - F.col("t0") - n * F.col("period")
+    points = written(points.filter(there).withColumns({"epoch": n.cast("long"), "dt": dt, "near": F.abs(dt) < 1.5 * d}), "event-points")
+    near = points.filter("near")
+    # the bin by division, then by the edges themselves
+    edge = lambda i: i * (3.0 * d / bins) - 1.5 * d
+    bin_ = F.floor((F.col("dt") + 1.5 * d) / (3.0 * d) * bins)
+    bin_ = bin_ + F.when(F.col("dt") < edge(bin_), -1).when(F.col("dt") >= edge(bin_ + 1), 1).otherwise(0)
+    shape = near.groupBy(key, F.least(F.greatest(bin_, F.lit(0)), F.lit(bins - 1)).cast("int").alias("bin")).agg(median("y").alias("m"), F.count(F.lit(1)).alias("n"))
+    shape = shape.groupBy(key).agg(F.sum("n").alias("n"), F.collect_list(F.struct("bin", "m")).alias("shape"))
+    level = points.filter("NOT near").groupBy(key).agg(median("y").alias("base"))
+    bare = near.join(level, key, "left_anti").groupBy(key).agg(median("y").alias("base"))
+    first = points.groupBy(key).agg(*[F.first(c).alias(c) for c in ("period", "t0", "duration")])
+    objects = written(shape.filter(F.size("shape") >= 3).join(level.unionByName(bare), key).join(first, key), "event-objects")  # a row an object
+    sizes = near.join(objects.filter(F.col("n") > max_points).select(key), key).groupBy(key, "epoch").agg(F.ceil(F.count(F.lit(1)) / max_points).alias("parts"))
+    sizes = written(sizes, "event-sizes")  # a row an event of the larger ones
+    place = lambda i: F.xxhash64("epoch", i)
+    none = F.lit(0).cast("long")
+    dealt = near.join(sizes, [key, "epoch"], "left").withColumn("part", F.when(F.col("parts").isNull(), none).otherwise(place(F.pmod(F.xxhash64("t", "y"), "parts"))))
+    dealt = dealt.select(F.col(key).alias("__own"), "part", "epoch", F.coalesce("parts", F.lit(1)).alias("parts"), "dt", "y", "e")
+    all_parts = F.when(F.col("parts").isNull(), F.array(none)).otherwise(F.transform(F.sequence(none, F.col("parts") - 1), place))
+    wanted = objects.join(sizes, key, "left").withColumn("part", F.explode(all_parts)).select(key, "part", "period", "t0", "duration", "base", F.col("shape.bin").alias("bin"), F.col("shape.m").alias("m")).dropDuplicates([key, "part"])
+    fields = "epoch long, time double, time_err double, amplitude double, gain double"
+    sums = "n long, period double, t0 double, duration double, top array<double>, bottom array<double>"
+    columns = [c.split()[0] for c in f"{fields}, {sums}".split(", ")]
+
+    def run(name, part: pd.DataFrame, object_: pd.DataFrame) -> pd.DataFrame:
         out = []
-        part = part.dropna()
-        if len(part) > max_points:
-            raise ValueError(f"{name}: over {max_points} points; bin it first")
-        if len(part):
-            x, f, e = (part[c].to_numpy(dtype=float) for c in ("t", "y", "e"))
-            p, t0, d = (float(part[c].iloc[0]) for c in ("period", "t0", "duration"))
-            n = np.rint((x - t0) / p)
-            dt = x - t0 - n * p
-            near = np.abs(dt) < 1.5 * d
+        if len(part) and len(object_):
+            p, t0, d, base = (float(object_[c].iloc[0]) for c in ("period", "t0", "duration", "base"))
+            order = np.argsort(object_["bin"].iloc[0])
             edges = np.linspace(-1.5 * d, 1.5 * d, bins + 1)
-            at = np.clip(np.digitize(dt[near], edges) - 1, 0, bins - 1)
-            base = np.median(f[~near]) if (~near).any() else np.median(f)
-            shape = np.array([base - np.median(f[near][at == b]) if (at == b).any() else np.nan for b in range(bins)])
-            centres, ok = (edges[1:] + edges[:-1]) / 2, np.isfinite(shape)
+            centres = ((edges[1:] + edges[:-1]) / 2)[np.asarray(object_["bin"].iloc[0])[order]]
+            shape = base - np.asarray(object_["m"].iloc[0], dtype=float)[order]
             grid = np.linspace(-widths * d, widths * d, shifts)
-            if ok.sum() >= 3:
-                for k in np.unique(n[near]):
-                    m = near & (n == k)
-                    if m.sum() < least:
-                        continue
-                    model = np.interp(dt[m][None, :] - grid[:, None], centres[ok], shape[ok], left=0.0, right=0.0)
-                    w, r = 1 / e[m] ** 2, base - f[m]
-                    top, bottom = (model * (w * r)).sum(1), (model * model * w).sum(1)
-                    gain = np.where((bottom > 0) & (top > 0), top * top / np.maximum(bottom, 1e-300), 0.0)
-                    i = int(np.argmax(gain))
-                    if gain[i] < least_gain or i in (0, shifts - 1):
-                        continue
-                    a, b, c = gain[i - 1 : i + 2]
-                    bend, step = a - 2 * b + c, grid[1] - grid[0]
-                    if bend >= 0:
-                        continue
-                    shift = grid[i] + 0.5 * (a - c) / bend * step
-                    out.append((name[0], int(k), t0 + k * p + shift, float(np.sqrt(2.0 / (-bend)) * step), float(top[i] / bottom[i]), float(b)))
-        return pd.DataFrame(out, columns=[key, "epoch", "time", "time_err", "amplitude", "gain"])
-
-    points = df.select(key, F.col(t).alias("t"), F.col(y).alias("y"), F.col(err).alias("e"), "period", "t0", "duration")
-    return points.groupBy(key).applyInPandas(lambda name, part: run(name, part), f"{key} {kind}, epoch long, time double, time_err double, amplitude double, gain double")
+            for k, event in part.sort_values(["epoch", "dt", "y", "e"]).groupby("epoch"):
+                dt, w, r = event["dt"].to_numpy(), 1 / event["e"].to_numpy() ** 2, base - event["y"].to_numpy()
+                several = int(event["parts"].iloc[0]) > 1
+                if len(event) < least and not several:
+                    continue
+                top, bottom = np.zeros(shifts), np.zeros(shifts)
+                for a in range(0, len(event), BLOCK):
+                    i = slice(a, a + BLOCK)
+                    model = np.interp(dt[None, i] - grid[:, None], centres, shape, left=0.0, right=0.0)
+                    top += (model * (w[i] * r[i])).sum(1)
+                    bottom += (model * model * w[i]).sum(1)
+                if several:
+                    out.append((name[0], int(k), None, None, None, None, len(event), p, t0, d, top.tolist(), bottom.tolist()))
+                elif found := _peak(top, bottom, grid, least_gain):
+                    out.append((name[0], int(k), t0 + k * p + found[0], *found[1:], len(event), p, t0, d, None, None))
+        return pd.DataFrame(out, columns=[key, *columns])
+
+    def add(name, parts: pd.DataFrame) -> pd.DataFrame:
+        p, t0, d = (float(parts[c].iloc[0]) for c in ("period", "t0", "duration"))
+        top, bottom = (np.sum(np.stack(sorted(map(tuple, parts[c]))), axis=0) for c in ("top", "bottom"))
+        found = _peak(top, bottom, np.linspace(-widths * d, widths * d, shifts), least_gain) if parts["n"].sum() >= least else None
+        return pd.DataFrame([(*name, t0 + name[1] * p + found[0], *found[1:])] if found else [], columns=[key, *columns[:5]])
+
+    met = spread(dealt, "__own", "part").groupBy("__own", "part").cogroup(spread(wanted, key, "part").groupBy(key, "part"))
+    met = written(met.applyInPandas(lambda name, part, object_: run(name, part, object_), f"{key} {kind}, {fields}, {sums}"), "event-sums")
+    whole = met.filter("top IS NULL").select(key, *columns[:5])
+    return whole.unionByName(met.filter("top IS NOT NULL").groupBy(key, "epoch").applyInPandas(lambda name, parts: add(name, parts), f"{key} {kind}, {fields}"))
 
 
 def gls_line(cycle: np.ndarray, time: np.ndarray, err: np.ndarray, group: np.ndarray) -> dict:
