@@ -53,6 +53,19 @@ def discard(*written: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows and bytes that a Python worker gets at a time.
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session's Python workers get whole texts in batches of 1,000 rows (fewer, if it says so
+    already) or 8 MiB at most. A batch lies in a worker as Arrow, as objects and as results, and its memory stays with the worker."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 #: A table of a few numbers a row is broadcast up to so many rows (some 40 bytes each).
 MOST_BESIDE = 2_000_000
 

@@ -3,7 +3,9 @@
 import random
 
 import duckdb
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from brute_force import near_brute
@@ -58,3 +60,16 @@ def test_small_sets_far_apart_in_bits(spark, data):
 def test_empty(spark, data):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert corpus_pipeline.near_copies(spark, df, data).collect() == []
+
+
+def test_stages_bound_the_texts_that_a_worker_holds(spark):
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{key}")
+
+    @F.pandas_udf("long")
+    def rows(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(texts)] * len(texts))
+
+    docs = spark.range(2_500).select(F.col("id").alias("doc_id"), F.concat(F.lit("word"), "id").alias("text")).coalesce(1)
+    assert corpus_pipeline.near_copies(spark, docs, "").count() == 2_500
+    assert docs.select(F.max(rows("text"))).first()[0] <= 1_000
