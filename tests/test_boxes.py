@@ -132,3 +132,29 @@ def test_few_controls_give_no_threshold(spark):
     r = boxes.assess_periods(df, "k", F.lit(0.3), controls=10, injections=2).first()
     assert r.n_controls == 10 and r.threshold is None and r.power == 0
     assert boxes.assess_periods(df.limit(0), "k", F.lit(0.3), controls=5, injections=2).count() == 0
+
+
+def test_boxes_of_few_bins_equal_the_sorted_ones(monkeypatch):
+    rng = np.random.default_rng(6)
+    width, durations = 0.028, np.array([0.28, 0.4])
+    for n, several in ((3, 1), (65, 1), (65, 40), (100, 40)):
+        at = 700_000 + np.sort(rng.choice(1_100, n, replace=False))
+        w = rng.choice([400.0, 800.0], n)
+        # short periods hold long runs; 2.01 puts bins on edges
+        periods = np.concatenate([rng.uniform(0.41, 0.9, 18), rng.uniform(1.0, 6.0, 20), [0.3, 2.01]])
+        wy = w * rng.normal(1, 0.3, (len(periods), n) if several > 1 else n)
+        got = boxes._few_boxes((at + 0.5) * width, w, wy - w * (wy.sum(axis=-1, keepdims=True) / w.sum()), w.sum(), width, periods, np.rint(durations / width).astype(np.int64), durations)
+        monkeypatch.setattr(boxes, "FEW_BINS", 0)
+        want = boxes.best_boxes(at, w, wy, width, periods, durations)
+        monkeypatch.undo()
+        for x, y in zip(got, want):
+            np.testing.assert_array_equal(x, y)
+
+
+def test_each_control_is_drawn_once(spark):
+    ephemeris = spark.createDataFrame([(k, 1.7 + k / 10, 0.4, 30.0) for k in range(3)], "k long, period double, duration double, span double")
+    got = boxes.control_ratios(ephemeris, "k", 50, 1)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    rows = got.collect()
+    assert sorted((r.k, r.nth) for r in rows) == [(k, n) for k in range(3) for n in range(50)]
+    assert all(abs(r.ratio / (a / b) - 1) >= boxes.HARMONIC for r in rows for a in range(1, 5) for b in range(1, 5))
