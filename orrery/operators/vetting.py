@@ -137,11 +137,15 @@ def injection_results(points: DataFrame, hosts: DataFrame, key: str, n_injected:
     """A row a trial: its truth, how the same vetting as ever judges it, and the outcome: missed, exact, alias or wrong for
     injected events, pass or clean for shuffled ones. Trials of ``done`` (key, kind, k) are not run again; a trial whose
     vetting ends early is a row with that status, and never stops the others."""
+    # read many times from here on: hosts that follow from a vetting, and the trials, would each be worked out anew
+    hosts = written(hosts.select(key), "injection-hosts")
     series_, truth = injection_trials(points, hosts, key, n_injected, n_shuffled, seed)
+    truth = written(truth, "injection-truth")
     if done is not None:
         gone = done.select(key, "kind", "k")
         series_, truth = series_.join(gone, [key, "kind", "k"], "left_anti"), truth.join(gone, [key, "kind", "k"], "left_anti")
     name = F.concat_ws("|", "kind", F.col("k").cast("string"), F.col(key).cast("string"))
+    series_ = written(series_, "injection-trials")
     judged = vetted(series_.withColumn("__trial", name), "__trial", n_periods, least_points).select("__trial", "status", F.col("period").alias("found"), "snr", "n_events", *GATES, "passed")
     out = truth.withColumn("__trial", name).join(judged, "__trial", "left").drop("__trial")
     out = out.withColumns({"status": F.coalesce("status", F.lit("NOT_RUN")), "passed": F.coalesce("passed", F.lit(False))})

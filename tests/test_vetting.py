@@ -127,3 +127,20 @@ def test_injection_loop_recovers_deep_events(spark):
     done = spark.createDataFrame([(1, "inject", k) for k in range(6)] + [(2, "shuffle", 0)], "host long, kind string, k int")
     rest = {(r.host, r.kind, r.k): r for r in vetting.injection_results(points, hosts, "host", 6, 2, seed=5, done=done, n_periods=3000).collect()}
     assert rest.keys() == found.keys() - {(1, "inject", k) for k in range(6)} - {(2, "shuffle", 0)} and all(tuple(rest[k]) == tuple(found[k]) for k in rest)
+
+
+def test_hosts_of_injections_are_worked_out_once(spark):
+    from pyspark.sql import functions as F
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def own(g):
+        seen.add(1)
+        return g
+
+    points = spark.range(60).select(F.lit(1).cast("long").alias("g"), (F.col("id") * 0.5).alias("t"), (1 + F.col("id") % 3 * 0.01).alias("flux"), F.lit(0.01).alias("flux_err"))
+    hosts = spark.range(1, 2).coalesce(1).select(own("id").alias("g"))
+    got = vetting.injection_results(points, hosts, "g", 1, 1, n_periods=10).select("kind", "k").collect()
+    assert sorted((r.kind, r.k) for r in got) == [("inject", 0), ("shuffle", 0)]
+    assert seen.value == 1
