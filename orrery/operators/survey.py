@@ -166,26 +166,35 @@ def screening(scored: DataFrame, score: str, label: str, recalls=(0.95, 0.9, 0.8
 
 def cross_validated(df: DataFrame, key: str, label: str, numbers: list[str], categories: list[str], folds: int = 5, seed: int = 7) -> DataFrame:
     """(model, fold, auc) of a logistic regression and boosted trees, folds by hash inside each class. Every pass of a fit
-    reads the rows from a written table."""
+    reads a written table, in which rows of a fold that are equal in label and features are one row with their number as
+    its weight; both models of a fold share its indexes and scales. Missing numbers become the median of the others."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier, LogisticRegression
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 
     from orrery.functions.stats import draw
 
-    rows = df.withColumns({"__fold": F.floor(draw(seed, key) * folds).cast("int"), **{n: F.col(n).cast("double") for n in numbers}}).withColumn("label", F.col(label).cast("double"))
-    share = rows.agg(F.avg("label")).first()[0] or 0.5
-    rows = rows.withColumn("weight", F.when(F.col("label") == 1, 0.5 / max(share, 1e-9)).otherwise(0.5 / max(1 - share, 1e-9)))
-    steps = [Imputer(inputCols=numbers, outputCols=[f"{n}__i" for n in numbers], strategy="median")]
-    steps += [StringIndexer(inputCol=c, outputCol=f"{c}__n", handleInvalid="keep") for c in categories] + [OneHotEncoder(inputCols=[f"{c}__n" for c in categories], outputCols=[f"{c}__v" for c in categories])] * bool(categories)
-    steps += [VectorAssembler(inputCols=[f"{n}__i" for n in numbers] + [f"{c}__v" for c in categories], outputCol="raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True)]
-    models = {"logistic": LogisticRegression(weightCol="weight", maxIter=30), "boosted": GBTClassifier(maxIter=10, maxDepth=3, seed=seed)}
+    rows = df.select(F.floor(draw(seed, key) * folds).cast("int").alias("__fold"), F.col(label).cast("double").alias("label"), *[F.nanvl(F.col(n).cast("double"), F.lit(None)).alias(n) for n in numbers], *categories)
+    rows = written(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).cast("double").alias("__times")), "folds")
+    total = rows.agg((F.sum(F.col("label") * F.col("__times")) / F.sum(F.when(F.col("label").isNotNull(), F.col("__times")))).alias("share"), *[count_where(F.col(n).isNull()).alias(f"__{n}") for n in numbers]).first()
+    share = total["share"] or 0.5
+    rows = rows.withColumn("weight", F.col("__times") * F.when(F.col("label") == 1, 0.5 / max(share, 1e-9)).otherwise(0.5 / max(1 - share, 1e-9)))
+    steps = [StringIndexer(inputCol=c, outputCol=f"{c}__n", handleInvalid="keep") for c in categories] + [OneHotEncoder(inputCols=[f"{c}__n" for c in categories], outputCols=[f"{c}__v" for c in categories])] * bool(categories)
+    steps += [VectorAssembler(inputCols=[*numbers, *[f"{c}__v" for c in categories]], outputCol="raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True)]
+    models = {"logistic": LogisticRegression(weightCol="weight", maxIter=30), "boosted": GBTClassifier(weightCol="__times", maxIter=10, maxDepth=3, seed=seed)}
     out = []
     for f in range(folds):
+        train, fill = rows.filter(F.col("__fold") != f), {}
+        for n in numbers:
+            if total[f"__{n}"]:
+                counts = train.filter(F.col(n).isNotNull()).groupBy(F.lit(0).alias("__one"), n).agg(F.sum("__times").cast("long").alias("n"))
+                fill[n] = counted_quantile(counts, "__one", n, "n", 0.5).first()["value"]
+        own = rows.fillna(fill) if fill else rows
+        ready = Pipeline(stages=steps).fit(own.filter(F.col("__fold") != f)).transform(own).select("__fold", "__times", "label", "weight", "features")
         for name, m in models.items():
-            fitted = Pipeline(stages=[*steps, m]).fit(rows.filter(F.col("__fold") != f))
-            out.append((name, f, float(BinaryClassificationEvaluator().evaluate(fitted.transform(rows.filter(F.col("__fold") == f))))))
+            found = m.fit(ready.filter(F.col("__fold") != f)).transform(ready.filter(F.col("__fold") == f))
+            out.append((name, f, float(BinaryClassificationEvaluator(weightCol="__times").evaluate(found))))
     return df.sparkSession.createDataFrame(out, "model string, fold int, auc double")
 
 
